@@ -49,5 +49,25 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2("spans", 256).alias("base_sha256"), "spans")
 
 
-QUERIES = {"op1_token_output": op1_token_output, "op2_token_counts": op2_token_counts, "op6_secret_scan": op6_secret_scan}
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weft.llm.quality import classify
+
+    found = classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", F.col("quality_score").alias("score"), "predicted")
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weft.llm.pii import KINDS, detect_pii
+
+    found = detect_pii(table(spark, sf_dir, "documents"))
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: ~s["added"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: ~s["added"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
+QUERIES = {"op1_token_output": op1_token_output, "op2_token_counts": op2_token_counts, "op4_quality": op4_quality, "op5_personal_data": op5_personal_data, "op6_secret_scan": op6_secret_scan}
 SQL: dict[str, str] = {}
