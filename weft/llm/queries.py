@@ -83,5 +83,11 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_token_output": op1_token_output, "op2_token_counts": op2_token_counts, "op3_chat_format": op3_chat_format, "op4_quality": op4_quality, "op5_personal_data": op5_personal_data, "op6_secret_scan": op6_secret_scan}
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weft.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+QUERIES = {"op1_token_output": op1_token_output, "op2_token_counts": op2_token_counts, "op3_chat_format": op3_chat_format, "op4_quality": op4_quality, "op5_personal_data": op5_personal_data, "op6_secret_scan": op6_secret_scan, "op9_jaccard_join": op9_jaccard_join}
 SQL: dict[str, str] = {}
