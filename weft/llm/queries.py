@@ -83,11 +83,32 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weft.llm.knn import quantized, voronoi_topk
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", quantized(F.col("embedding")).alias("x"))
+    return voronoi_topk(rows, F.col("vec_id") % 20 == 0, k=20)
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weft.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weft.llm.jaccard_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
-QUERIES = {"op1_token_output": op1_token_output, "op2_token_counts": op2_token_counts, "op3_chat_format": op3_chat_format, "op4_quality": op4_quality, "op5_personal_data": op5_personal_data, "op6_secret_scan": op6_secret_scan, "op9_jaccard_join": op9_jaccard_join}
-SQL: dict[str, str] = {}
+QUERIES = {"op1_token_output": op1_token_output, "op2_token_counts": op2_token_counts, "op3_chat_format": op3_chat_format, "op4_quality": op4_quality, "op5_personal_data": op5_personal_data, "op6_secret_scan": op6_secret_scan, "op7_exact_topk": op7_exact_topk, "op8_decontaminate": op8_decontaminate, "op9_jaccard_join": op9_jaccard_join}
+SQL: dict[str, str] = {
+    "op7_exact_topk": """
+with rows as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) x from embeddings
+  where vec_id is not null and embedding is not null and list_count(embedding) = len(embedding) and list_bool_and(list_transform(embedding, lambda x: isfinite(x)))),
+scored as (select q.vec_id query_id, d.vec_id, list_sum(list_transform(list_zip(q.x, d.x), lambda p: p[1] * p[2]))::bigint score
+  from rows q join rows d on q.vec_id % 20 = 0 and d.vec_id <> q.vec_id),
+ranked as (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank, vec_id, score from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20""",
+}
