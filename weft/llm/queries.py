@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.llm import mixing
 from weft.sources.scratch import new_path
 
+#: The mixing query's parameters, which its SQL has too.
+MIX = {"power": 0.7, "budget": 0.5, "rounds": 12, "seed": "mix"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -102,8 +106,16 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
-QUERIES = {"op1_token_output": op1_token_output, "op2_token_counts": op2_token_counts, "op3_chat_format": op3_chat_format, "op4_quality": op4_quality, "op5_personal_data": op5_personal_data, "op6_secret_scan": op6_secret_scan, "op7_exact_topk": op7_exact_topk, "op8_decontaminate": op8_decontaminate, "op9_jaccard_join": op9_jaccard_join}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from weft.llm.mixing import mix
+
+    found = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), **MIX)
+    return found.select("doc_id", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"), F.round("mix_probability", 6).alias("probability"), F.col("mix_selected").alias("selected"))
+
+
+QUERIES = {"op1_token_output": op1_token_output, "op2_token_counts": op2_token_counts, "op3_chat_format": op3_chat_format, "op4_quality": op4_quality, "op5_personal_data": op5_personal_data, "op6_secret_scan": op6_secret_scan, "op7_exact_topk": op7_exact_topk, "op8_decontaminate": op8_decontaminate, "op9_jaccard_join": op9_jaccard_join, "op10_mixing": op10_mixing}
 SQL: dict[str, str] = {
+    "op10_mixing": mixing.sql(**MIX),
     "op7_exact_topk": """
 with rows as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) x from embeddings
   where vec_id is not null and embedding is not null and list_count(embedding) = len(embedding) and list_bool_and(list_transform(embedding, lambda x: isfinite(x)))),
