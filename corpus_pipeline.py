@@ -1,16 +1,54 @@
-"""Corpus pipeline: STAGES over documents, each written as Parquet and read again."""
+"""Corpus pipeline: STAGES over documents, each written as Parquet and read again as the next one's docs.
+
+Every stage works on all that the one before it kept. The quality classifier drops documents that score under its
+threshold, the Jaccard join leaves one document of each group, decontamination drops documents with a benchmark passage,
+mixing samples by calibrated probabilities, and the last stage writes the rest as token files and returns their index.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from weft.llm.decontaminate import without_leaks
+from weft.llm.jaccard_join import one_of_each
+from weft.llm.mixing import mix
+from weft.llm.quality import classify
+from weft.llm.token_output import token_output
+from weft.sources.scratch import materialize
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; it learns from the labels outside the held-out fifth."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classify(docs, labels).where("predicted = 1").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that word 5-gram sets of similarity 0.8 or more connect."""
+    return one_of_each(docs, n=5, percent=80)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn to flattened shares of sources, languages and forms."""
+    return mix(docs, power=0.9, budget=0.9, rounds=12).where("mix_selected").select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token files' index: document, start, length, checksum, file and place."""
+    return token_output(docs)
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("mixture", mixture), ("tokens", tokens)]
+#: Boosted trees, set joins by hashes and tokenizers have no SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from weft.sources.scratch import materialize
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
