@@ -7,6 +7,7 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 #: The public URL namespace of name-based identifiers.
 URL_NAMESPACE = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
@@ -39,7 +40,7 @@ def bucket_id(kind: str, key: Column) -> Column:
     return F.concat_ws(":", F.lit(kind), short_hash(key))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def canonical_json(s):
     """JSON text with sorted keys, no spaces, no NaN; null where the input isn't JSON or holds NaN."""
 

@@ -7,18 +7,19 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 WORDS = r"(?U)\w+"
 RUNS = r"(?U)[^\W_]+"
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfkc(s):
     """Unicode NFKC; there is no built-in for it. ASCII texts pass as they are."""
     return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfkc_casefold(s):
     return s.map(lambda x: x if x is None else unicodedata.normalize("NFKC", x).casefold())
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from importlib import import_module
+
+MODULES = ("records", "graphs", "ordered")
+_PARTS = [import_module(f"weft.plans.{m}") for m in MODULES]
+QUERIES = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
+SQL = {name: q for part in _PARTS for name, q in part.SQL.items()}
 FLAGSHIP = "canonical_elect"
