@@ -117,7 +117,7 @@ def usage(df: DataFrame, group: list[str], value: str) -> DataFrame:
 
 def crosstab(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
     """Counts of given columns for each row value."""
-    return df.groupBy(row).pivot(column, values).agg(F.count("*")).fillna(0)
+    return df.groupBy(row).pivot(column, values).agg(F.count(F.lit(1))).fillna(0)
 
 
 def cohort_rank(pairs: DataFrame, group: list[str], common: str, total: str, most: int) -> DataFrame:
