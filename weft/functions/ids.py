@@ -70,5 +70,5 @@ def parse_unit_id(unit: Column) -> Column:
 def occurrence_span(text: Column, excerpt: Column, nth: Column) -> Column:
     """(start, end) of the nth (from 1) non-overlapping occurrence of an excerpt; null if there are fewer."""
     before = F.regexp_count(text, F.concat(F.lit(r"\Q"), excerpt, F.lit(r"\E")))
-    start = F.char_length(F.substring_index(text, excerpt, nth))
+    start = F.char_length(F.call_function("substring_index", text, excerpt, nth.cast("int")))
     return F.when((F.char_length(excerpt) > 0) & (nth >= 1) & (before >= nth), F.struct(start.alias("start"), (start + F.char_length(excerpt)).alias("end")))

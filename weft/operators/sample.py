@@ -73,11 +73,12 @@ def selectors(options: DataFrame, item: str, option: str, score: str, path: str)
 
 def corruptions(rows: DataFrame, item: str, parts: str, text: str) -> DataFrame:
     """Known-bad variants of rows with a list of parts: bundled, collapsed, forced redundancy, truncated, whole text only."""
-    made = F.array(
-        F.struct(F.lit("bundled").alias("kind"), F.array(F.array_join(parts, " and ")).alias("parts")),
-        F.struct(F.lit("collapsed"), F.slice(parts, 1, 1)),
-        F.struct(F.lit("redundant"), F.concat(parts, F.slice(parts, 1, 1))),
-        F.struct(F.lit("truncated"), F.transform(parts, lambda p: F.substring(p, 1, 12))),
-        F.struct(F.lit("undivided"), F.array(F.col(text))),
-    )
+    kinds = {
+        "bundled": F.array(F.array_join(parts, " and ")),
+        "collapsed": F.slice(parts, 1, 1),
+        "redundant": F.concat(parts, F.slice(parts, 1, 1)),
+        "truncated": F.transform(parts, lambda p: F.substring(p, 1, 12)),
+        "undivided": F.array(F.col(text)),
+    }
+    made = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("parts")) for k, v in kinds.items()])
     return rows.withColumn("_c", F.explode(made)).select(item, "_c.kind", "_c.parts")

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; only a local session without one gets a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,10 +18,11 @@ def shared_dir(spark: SparkSession) -> str:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="weft-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _made:
+        _made[app] = "file://" + tempfile.mkdtemp(prefix="weft-")
+        spark.sparkContext.setCheckpointDir(_made[app])
+    return _made[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
