@@ -43,7 +43,7 @@ def cuts_of(column: np.ndarray, bins: int) -> np.ndarray:
     return (values[1:] + values[:-1]) / 2
 
 
-def fit(x: np.ndarray, y: np.ndarray, *, trees: int = 80, depth: int = 4, bins: int = 48, rate: float = 0.15, l2: float = 1.0, least: float = 5.0) -> Trees:
+def fit(x: np.ndarray, y: np.ndarray, *, trees: int = 80, depth: int = 4, bins: int = 48, rate: float = 0.15, l2: float = 1.0, least: float = 0.5) -> Trees:
     """Logistic loss, second-order gains. y holds 0 and 1; least is the smallest sum of second derivatives in a child.
 
     With one class only, or without rows, the trees are empty and every score is the smoothed share of ones.
