@@ -111,6 +111,20 @@ def test_strong_components(spark):
     assert graph.strong_components(spark.createDataFrame([(1, 2)], "a int, b int")).count() == 0
 
 
+def test_strong_components_in_rounds(spark, monkeypatch):
+    from weft.operators import assemble
+
+    rng = random.Random(2)
+    rows = sorted({(rng.randrange(14), rng.randrange(14)) for _ in range(22)})
+    e = spark.createDataFrame(rows, "a int, b int")
+    local = values(graph.strong_components(e), "node", "component")
+    cycles = values(assemble.shortest_cycle(e.where("a <> b"), graph.strong_components(e)), "component", "cycle", "length")
+    monkeypatch.setattr(graph, "LOCAL_EDGES", -1)
+    members = spark.createDataFrame(local, "node int, component int")
+    assert values(graph.strong_components(e), "node", "component") == local
+    assert values(assemble.shortest_cycle(e.where("a <> b"), members), "component", "cycle", "length") == cycles
+
+
 def test_truncated_paths(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("a", "d")], "child string, parent string")
     got = values(graph.ancestor_paths(e, depth=2, paths=5), "node", "path", "truncated")

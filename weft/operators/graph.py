@@ -97,13 +97,81 @@ def cyclic_core(edges: DataFrame, *, most: int = 200) -> DataFrame:
     raise RuntimeError("peeling didn't settle")
 
 
+#: Edges left after peeling that one task solves; they are counted first.
+LOCAL_EDGES = 200_000
+
+
+def strong_of(edges: list[tuple]) -> dict:
+    """Component (its smallest node) of each node of an edge list, by Tarjan's search without recursion."""
+    nexts: dict = {}
+    for a, b in edges:
+        nexts.setdefault(a, []).append(b)
+        nexts.setdefault(b, [])
+    index, low, on, stack, out = {}, {}, set(), [], {}
+    for top in nexts:
+        if top in index:
+            continue
+        work = [(top, iter(nexts[top]))]
+        index[top] = low[top] = len(index)
+        stack.append(top)
+        on.add(top)
+        while work:
+            v, it = work[-1]
+            for w in it:
+                if w not in index:
+                    index[w] = low[w] = len(index)
+                    stack.append(w)
+                    on.add(w)
+                    work.append((w, iter(nexts[w])))
+                    break
+                if w in on:
+                    low[v] = min(low[v], index[w])
+            else:
+                work.pop()
+                if work:
+                    low[work[-1][0]] = min(low[work[-1][0]], low[v])
+                if low[v] == index[v]:
+                    own = stack[stack.index(v) :] if stack[-1] != v else [v]
+                    del stack[-len(own) :]
+                    on.difference_update(own)
+                    out.update(dict.fromkeys(own, min(own)))
+    return out
+
+
+def in_one_task(df: DataFrame, work, schema: str) -> DataFrame:
+    """work() on all rows, as tuples, of a table whose size was checked."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        rows = [r for b in batches for r in zip(*[c.to_pylist() for c in b.columns], strict=True)]
+        found = work(rows)
+        names = [f.split()[0] for f in schema.split(", ")]
+        kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
+        types = [kinds[f.split()[1]] for f in schema.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], t) for k, t in enumerate(types)], names)
+
+    return df.coalesce(1).mapInArrow(run, schema)
+
+
 def strong_components(edges: DataFrame, *, most: int = 64) -> DataFrame:
-    """(node, component) of nodes on cycles: component is the smallest node that reaches it and is reached from it.
+    """(node, component) of nodes on cycles of two nodes or more: component is the smallest node of the cycle's component.
 
-    After peeling, each round gives every node the smallest label that can reach it and the smallest it can reach; where
-    both are the same node, its component is found and taken out.
+    What peeling leaves is solved by one task if it is small. Else each round gives every node the smallest label that
+    can reach it and the smallest it can reach; where both are one node, its component is found and taken out.
     """
-    left, found = cyclic_core(edges), None
+    left, found = cyclic_core(edges.where("a <> b")), None
+    kind = edges.schema["a"].dataType.simpleString()
+    if kind in ("int", "bigint", "string") and left.limit(LOCAL_EDGES + 1).count() <= LOCAL_EDGES:
+
+        def solve(rows):
+            got = strong_of(rows)
+            sizes: dict = {}
+            for c in got.values():
+                sizes[c] = sizes.get(c, 0) + 1
+            return [(n, c) for n, c in got.items() if sizes[c] > 1]
+
+        return in_one_task(left, solve, f"node {kind}, component {kind}")
 
     def spread(e: DataFrame) -> DataFrame:
         """(node, label) with the smallest node that reaches each node, itself included."""
