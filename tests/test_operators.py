@@ -76,8 +76,10 @@ def test_code_offsets(spark):
     assert got == [("a", "A1", 1, 3), ("a", "A1", 8, 10), ("n", "1", 2, 3), ("n", "1", 9, 10), ("n", "22", 5, 7)]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components_against_union_find(spark, seed):
+@pytest.mark.parametrize("seed", range(4))
+def test_components_against_union_find(spark, seed, monkeypatch):
+    if seed % 2:
+        monkeypatch.setattr(components, "LOCAL_EDGES", -1)
     rng = random.Random(seed)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(None, 3), (7, 7)]
     parent = {x: x for x in range(60)}
@@ -100,7 +102,9 @@ def test_components_of_nothing(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_long_path(spark):
+@pytest.mark.parametrize("most", [-1, 500])
+def test_long_path(spark, monkeypatch, most):
+    monkeypatch.setattr(components, "LOCAL_EDGES", most)
     edges = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert components.connected_components(edges).select("component").distinct().collect()[0][0] == 0
 
