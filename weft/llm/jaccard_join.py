@@ -2,7 +2,7 @@
 
 A document's set holds 64-bit hashes of its word n-grams. Sets of Jaccard similarity t or more share a token within
 their first n - ceil(t n) + 1 tokens, whatever order all tokens are put in. Each order puts rare tokens first: by the
-load of the token's bucket in a count table that all documents fill (a fixed 2^22 counters), ties by another hash. The
+load of the token's bucket in a count table that all documents fill (a fixed 2^20 counters), ties by another hash. The
 orders differ in their bucket and tie hashes. Documents that are connected through shared prefix tokens of the first
 order, and within that through those of the second, and so on, form a cluster; links lie within clusters. Clusters
 are solved each by itself: candidate pairs share a prefix token in every order, and are verified on whole sets.
@@ -18,14 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.operators.components import connected_components
-from weft.sources.scratch import materialize, remove_table
+from weft.sources.scratch import materialize
 
-#: Counters of the count table: 16 MB as it is sent to executors, whatever the input.
-BUCKETS = 1 << 22
+#: Counters of an order's count table: 4 MB as it is sent to executors, whatever the input.
+BUCKET_BITS = 20
+BUCKETS = 1 << BUCKET_BITS
 CHUNK = 1 << 14
 #: Tokens of a block in a cell; a cell holds two blocks at most, 16 bytes or so for each token.
 CELL_TOKENS = 2_000_000
 CELL_SETS = 2_048
+#: Lists of one prefix token up to this length give all their pairs; the sets of longer ones are solved as one cluster.
+LIST = 12
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -80,15 +83,20 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def bucket(s: np.ndarray, order: int) -> np.ndarray:
-    return (mixed(s, 2 + order) >> np.uint64(42)).astype(np.int64)
+    return (mixed(s, 2 + order) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def rank_keys(s: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
+    """Places of tokens in one order as integers: load of the bucket, then a hash; the token itself settles ties."""
+    load = np.minimum(counts[bucket(s, order)], (1 << 24) - 1).astype(np.uint64)
+    return (load << np.uint64(40)) | (mixed(s, 3 - order) >> np.uint64(24))
 
 
 def prefix(s: np.ndarray, counts: np.ndarray, order: int, percent: int) -> np.ndarray:
     """The set's first tokens under one order: as many as a partner must share one of."""
     n = len(s)
     keep = n - (percent * n + 99) // 100 + 1
-    rank = np.lexsort((mixed(s, 3 - order), counts[bucket(s, order)]))
-    return s[rank[:keep]]
+    return s[np.lexsort((s, rank_keys(s, counts, order)))[:keep]]
 
 
 def _count_tables(batches, n: int, orders: int):
@@ -130,101 +138,260 @@ def _sum_chunks(batches):
     yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int32()), "data": pa.array(packed, pa.binary())})
 
 
-def _links(keys, sets, prefixes, cell_of, percent: int):
-    """Pairs of places that link, one spanning forest of them for a cell. cell_of: block of each member, or None for all pairs."""
-    n = len(keys)
-    parent = list(range(n))
+class _Forest:
+    """Union-find over places; pairs that join two trees are kept."""
 
-    def root(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
+    def __init__(self, n: int):
+        self.parent, self.pairs = list(range(n)), []
+
+    def root(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
         return i
 
-    out = []
-    size = np.array([len(s) for s in sets])
-
-    def test(i, j, common):
-        if 100 * common >= percent * (size[i] + size[j] - common):
-            a, b = root(i), root(j)
-            if a != b:
-                parent[b] = a
-                out.append((i, j))
-
-    if n <= 48:
-        pre = [[set(p.tolist()) for p in order] for order in prefixes]
-        whole: dict[int, set] = {}
-        for i in range(n):
-            for j in range(i):
-                if root(i) == root(j) or 100 * min(size[i], size[j]) < percent * max(size[i], size[j]):
-                    continue
-                if all(not order[i].isdisjoint(order[j]) for order in pre):
-                    for k in (i, j):
-                        if k not in whole:
-                            whole[k] = set(sets[k].tolist())
-                    test(i, j, len(whole[i] & whole[j]))
-        return out
-
-    def shared(rows):
-        """Number of common elements of each two rows, by products of 0/1 matrices over the repeated elements."""
-        owner = np.repeat(np.arange(n), [len(r) for r in rows])
-        values, place, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-        rare = times[place] > 1
-        column = np.cumsum(times > 1) - 1
-        owner, place = owner[rare], column[place[rare]]
-        order = np.argsort(place, kind="stable")
-        owner, place = owner[order], place[order]
-        total = np.zeros((n, n), np.float32)
-        step = 2048
-        for a in range(0, int((times > 1).sum()), step):
-            lo, hi = np.searchsorted(place, [a, a + step])
-            x = np.zeros((n, step), np.float32)
-            x[owner[lo:hi], place[lo:hi] - a] = 1
-            total += x @ x.T
-        return total
-
-    fine = np.ones((n, n), bool)
-    for order in prefixes:
-        fine &= shared(order) > 0
-    common = shared(sets)
-    fine &= 100 * common >= percent * (size[:, None] + size[None] - common)
-    if cell_of is not None:
-        fine &= cell_of[:, None] != cell_of[None]
-    for i, j in zip(*np.nonzero(np.tril(fine, -1)), strict=True):
-        a, b = root(i), root(j)
+    def join(self, i: int, j: int) -> None:
+        a, b = self.root(i), self.root(j)
         if a != b:
-            parent[b] = a
-            out.append((i, j))
-    return out
-
-
-def _solve(batches, n: int, orders: int, percent: int):
-    """Links of each cell. A task gets whole cells, sorted by cell, and holds one at a time."""
+            self.parent[b] = a
+            self.pairs.append((i, j))
+
+
+def _shared(rows: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of each two rows, by products of 0/1 matrices over the repeated elements."""
+    n = len(rows)
+    owner = np.repeat(np.arange(n), [len(r) for r in rows])
+    _, place, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    column, repeated = np.cumsum(times > 1) - 1, times[place] > 1
+    owner, place = owner[repeated], column[place[repeated]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total, step = np.zeros((n, n), np.float32), 2048
+    for a in range(0, int((times > 1).sum()), step):
+        lo, hi = np.searchsorted(place, [a, a + step])
+        x = np.zeros((n, step), np.float32)
+        x[owner[lo:hi], place[lo:hi] - a] = 1
+        total += x @ x.T
+    return total
+
+
+def _fine(size: np.ndarray, prefixes: list[list[np.ndarray]], ranks: list[list[np.ndarray]], percent: int) -> np.ndarray:
+    """Pairs that no order's prefixes rule out.
+
+    Two prefixes must share a token. And a token of one that comes before the other's last isn't in the other set unless
+    it is in its prefix; what is missing for certain must leave enough to overlap.
+    """
+    need = -(-percent * (size[:, None] + size[None]) // (100 + percent))
+    fine = np.minimum(size[:, None], size[None]) >= need
+    for p, r in zip(prefixes, ranks, strict=True):
+        common = _shared(p)
+        last = np.array([x[-1] for x in r], np.uint64)
+        before = np.stack([np.searchsorted(x, last) for x in r])
+        missing = before - common
+        fine &= (common > 0) & (size[:, None] - missing >= need) & ((size[:, None] - missing).T >= need)
+    return fine
+
+
+def _pairs_of(fine: np.ndarray, blocks: np.ndarray | None):
+    if blocks is not None:
+        fine = fine & (blocks[:, None] != blocks[None])
+    return np.nonzero(np.tril(fine, -1))
+
+
+def _candidates(cell: list[dict], blocks, orders: int, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that pass the prefix filters of all orders."""
+    forest = _Forest(len(cell))
+    size = np.array([c["n"] for c in cell], np.int64)
+    fine = _fine(size, [[c["p"][o] for c in cell] for o in range(orders)], [[c["r"][o] for c in cell] for o in range(orders)], percent)
+    for i, j in zip(*_pairs_of(fine, blocks), strict=True):
+        forest.join(int(i), int(j))
+    return forest.pairs
+
+
+def _verified(cell: list[dict], blocks, orders: int, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that link; those that pass the filters are verified on whole sets."""
+    forest = _Forest(len(cell))
+    size = np.array([c["n"] for c in cell], np.int64)
+    fine = _fine(size, [[c["p"][o] for c in cell] for o in range(orders)], [[c["r"][o] for c in cell] for o in range(orders)], percent)
+    i, j = _pairs_of(fine, blocks)
+    if len(i) > 4 * len(cell):
+        common = _shared([c["tokens"] for c in cell])[i, j].astype(np.int64)
+        linked = 100 * common >= percent * (size[i] + size[j] - common)
+        for a, b in zip(i[linked].tolist(), j[linked].tolist(), strict=True):
+            forest.join(a, b)
+        return forest.pairs
+    whole: dict[int, set] = {}
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        if forest.root(a) != forest.root(b):
+            for k in (a, b):
+                if k not in whole:
+                    whole[k] = set(cell[k]["tokens"].tolist())
+            common = len(whole[a] & whole[b])
+            if 100 * common >= percent * (size[a] + size[b] - common):
+                forest.join(a, b)
+    return forest.pairs
+
+
+def _solve(batches, work, counts: np.ndarray, orders: int, percent: int):
+    """work() for each cell: pairs of keys. A task gets whole cells, sorted by cell and key, and holds one at a time."""
     import pyarrow as pa
 
-    cell, keys, sets, prefixes, blocks = None, [], [], [[] for _ in range(orders)], []
+    here, cell, blocks = None, [], []
 
     def solved():
-        side = np.array(blocks) if len(set(blocks)) > 1 else None
-        found = _links(keys, sets, prefixes, side, percent) if len(keys) > 1 else []
-        return pa.RecordBatch.from_pydict({"a": pa.array([keys[i] for i, _ in found], pa.binary()), "b": pa.array([keys[j] for _, j in found], pa.binary())})
+        own = np.array(blocks)
+        found = work(cell, own if len(set(blocks)) > 1 else None, orders, percent) if len(cell) > 1 else []
+        return pa.RecordBatch.from_pydict({"a": pa.array([cell[i]["key"] for i, _ in found], pa.binary()), "b": pa.array([cell[j]["key"] for _, j in found], pa.binary())})
 
     for batch in batches:
         for row in batch.to_pylist():
-            here = (row["cluster"], row["i"], row["j"])
-            if here != cell:
-                if cell is not None:
+            now = (row["cluster"], row["i"], row["j"])
+            if now != here:
+                if len(cell) > 1:
                     yield solved()
-                cell, keys, sets, prefixes, blocks = here, [], [], [[] for _ in range(orders)], []
-            keys.append(row["key"])
+                here, cell, blocks = now, [], []
+            if cell and cell[-1]["key"] == row["key"]:
+                continue
+            p = [np.frombuffer(row[f"p{o}"], np.uint64) for o in range(orders)]
+            cell.append({"key": row["key"], "n": row["n"], "p": p, "r": [rank_keys(x, counts[o], o) for o, x in enumerate(p)], "tokens": np.frombuffer(row["tokens"], np.uint64) if "tokens" in row else None})
             blocks.append(row["block"])
-            sets.append(np.frombuffer(row["tokens"], np.uint64))
-            for o in range(orders):
-                prefixes[o].append(np.frombuffer(row[f"p{o}"], np.uint64))
-    if cell is not None:
+    if len(cell) > 1:
         yield solved()
 
 
+def _batch(a=(), b=(), na=(), nb=(), big=()):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "na": pa.array(na, pa.int64()), "nb": pa.array(nb, pa.int64()), "big": pa.array(big, pa.bool_())})
+
+
+EDGES = "a long, b long, na long, nb long, big boolean"
+
+
+def _edges(token: np.ndarray, node: np.ndarray, size: np.ndarray, big: np.ndarray, percent: int):
+    """Edges of whole tokens, sorted: all pairs of fitting sizes of a short list; of a long one, each node with the smallest."""
+    first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    length = np.diff(np.append(first, len(token)))
+    long = (length > LIST) | np.maximum.reduceat(big, first).astype(bool)
+    out = []
+    for d in range(2, LIST + 1):
+        runs = first[(length == d) & ~long]
+        if len(runs):
+            i, j = np.triu_indices(d, 1)
+            out.append((np.add.outer(runs, i).ravel(), np.add.outer(runs, j).ravel(), False))
+    inside = np.repeat(long, length)
+    if inside.any():
+        far = np.flatnonzero(inside)
+        out.append((np.repeat(first, length)[far], far, True))
+    for x, y, whole in out:
+        keep = node[x] != node[y]
+        if not whole:
+            keep &= 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+        x, y = x[keep], y[keep]
+        if len(x):
+            yield _batch(node[x], node[y], size[x], size[y], np.full(len(x), whole))
+
+
+def _sorted_unique(token, node, size, big):
+    order = np.lexsort((node, token))
+    token, node, size, big = token[order], node[order], size[order], big[order]
+    once = np.ones(len(token), bool)
+    once[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+    return token[once], node[once], size[once], big[once]
+
+
+def _prefix_tokens(batches, column: str, percent: int, local: bool):
+    """Prefix tokens with their sets' nodes and sizes, in parts of bounded size.
+
+    A token that is long within a part already sends one row, marked big, whatever its number there; the part's own edges
+    from that row's node to the others are what ``local`` asks for instead.
+    """
+    import pyarrow as pa
+
+    parts, held = [], 0
+
+    def done():
+        token, node, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+        token, node, size, big = _sorted_unique(token, node, size, np.zeros(len(token), np.int8))
+        first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        length = np.diff(np.append(first, len(token)))
+        many = np.repeat(length > LIST, length)
+        if local:
+            if many.any():
+                yield from _edges(token[many], node[many], size[many], big[many], percent)
+            return
+        big[many] = 1
+        keep = ~many
+        keep[first] = True
+        yield pa.RecordBatch.from_pydict({"token": pa.array(token[keep], pa.int64()), "node": pa.array(node[keep], pa.int64()), "n": pa.array(size[keep], pa.int32()), "big": pa.array(big[keep], pa.int8())})
+
+    for batch in batches:
+        pre = batch.column(column).to_pylist()
+        token = np.frombuffer(b"".join(pre), np.uint64)
+        sizes = [len(p) // 8 for p in pre]
+        if "cluster" in batch.schema.names:
+            token = mixed(token ^ np.repeat(np.asarray(batch.column("cluster")).view(np.uint64), sizes), 1)
+        parts.append((token.view(np.int64), np.repeat(np.asarray(batch.column("node")), sizes), np.repeat(np.asarray(batch.column("n")), sizes)))
+        held += len(token)
+        if held > 2_000_000:
+            yield from done()
+            parts, held = [], 0
+    if held:
+        yield from done()
+
+
+def _dealt_edges(batches, percent: int):
+    """Edges of tokens that a task gets whole, sorted. A list that goes on in the next batch is carried there; of a long one
+    its first row only."""
+    carried = None
+    for batch in batches:
+        now = [np.asarray(batch.column(k)) for k in range(4)]
+        if not len(now[0]):
+            continue
+        if carried is not None:
+            now = [np.concatenate(x) for x in zip(carried, now, strict=True)]
+        token, node, size, big = _sorted_unique(*now)
+        cut = int(np.searchsorted(token, token[-1]))
+        if cut:
+            yield from _edges(token[:cut], node[:cut], size[:cut], big[:cut], percent)
+        carried = [x[cut:] for x in (token, node, size, big)]
+        if len(carried[0]) > LIST:
+            yield from _edges(*carried, percent)
+            carried = [x[:1].copy() for x in carried]
+            carried[3][:] = 1
+    if carried is not None:
+        yield from _edges(*carried, percent)
+    yield _batch()
+
+
+def _enough(percent: int, na, nb, shared):
+    """Whether a pair shares so many tokens of one order's prefixes as similar sets must.
+
+    Of a prefix of p tokens at most n - overlap are missing in the partner, and the common tokens that both prefixes have are
+    the first ones of all.
+    """
+    overlap = F.ceil(F.lit(percent) * (na + nb) / (100 + percent))
+    kept = lambda n: n - F.ceil(F.lit(percent) * n / 100) + 1 - (n - overlap)
+    return shared >= F.least(kept(na), kept(nb))
+
+
+def _in_cells(members: DataFrame, columns: list[str], weight, parts: int) -> DataFrame:
+    """Rows of clusters dealt to cells of bounded size: a cluster that fits is one; else each pair of its blocks is one."""
+    sizes = members.groupBy("cluster").agg(F.sum(weight).alias("w"), F.count("*").alias("c"))
+    cells = sizes.where("c > 1").select("cluster", F.greatest(F.ceil(F.col("w") / CELL_TOKENS), F.ceil(F.col("c") / CELL_SETS)).cast("int").alias("blocks"))
+    placed = members.join(cells, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
+        F.flatten(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.when(k == F.col("block"), _own(F.col("block"), F.col("blocks"))).otherwise(F.array(F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j"))))))
+    )
+    dealt = placed.withColumn("cell", F.explode(pairs)).select("cluster", "cell.i", "cell.j", "block", "key", *columns)
+    return dealt.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "key")
+
+
+def _own(block, blocks):
+    """The cell of a block's own pairs."""
+    return F.array(F.struct(block.alias("i"), block.alias("j")))
+
+
 def jaccard_components(docs: DataFrame, *, n: int = 3, percent: int = 90, orders: int = 2) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id (the smallest doc_id that links lead to, itself included).
 
@@ -245,65 +412,57 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, percent: int = 90, orders
     sent = spark.sparkContext.broadcast(table.reshape(orders, BUCKETS))
     del table
 
-    def prefixes(batches):
+    def prefixes(batches, whole: bool):
+        """Each task's distinct sets: key, a text hash, size and prefixes, perhaps with all tokens."""
         import pyarrow as pa
 
-        counts = sent.value
+        counts, seen = sent.value, set()
         for batch in batches:
-            keys, sizes, pre = [], [], [[] for _ in range(orders)]
-            for t in batch.column("text").to_pylist():
+            rows: dict[str, list] = {c: [] for c in ("key", "h", "n", *([] if not whole else ["tokens"]), *[f"p{o}" for o in range(orders)])}
+            for t, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True):
                 s = shingles((t or "").encode("utf-8", "surrogatepass"), n)
-                keys.append(set_key(s))
-                sizes.append(len(s))
+                key = set_key(s)
+                if not len(s) or key in seen:
+                    continue
+                seen.add(key)
+                rows["key"].append(key)
+                rows["h"].append(h)
+                rows["n"].append(len(s))
+                if whole:
+                    rows["tokens"].append(s.tobytes())
                 for o in range(orders):
-                    pre[o].append(prefix(s, counts[o], o, percent).tobytes() if len(s) else b"")
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "h": batch.column("h"), "n": pa.array(sizes, pa.int64()), **{f"p{o}": pa.array(pre[o], pa.binary()) for o in range(orders)}})
+                    rows[f"p{o}"].append(prefix(s, counts[o], o, percent).tobytes())
+            yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64() if c in ("h", "n") else pa.binary()) for c, v in rows.items()})
 
-    fields = ", ".join(f"p{o} binary" for o in range(orders))
+    pre = [f"p{o}" for o in range(orders)]
+    fields = ", ".join(f"{c} binary" for c in pre)
     own = first.where("chunk is null").select("doc_id", "key", F.col("n").alias("n_shingles"))
-    sets = materialize(rows.select("text", "h").mapInArrow(prefixes, f"key binary, h long, n long, {fields}").where("n > 0"), "prefixes")
+    sets = materialize(rows.select("text", "h").mapInArrow(lambda b: prefixes(b, False), f"key binary, h long, n long, {fields}").withColumn("node", F.xxhash64("key")), "prefixes")
 
-    # Clusters: classes of equal sets that prefix tokens of each order in turn connect.
+    # Clusters, for one order within those of the one before: what pairs with enough common prefix tokens connect, and what shares
+    # a token of a long list. Nodes are hashes of keys; that two keys have one merely puts them into one cluster.
     cluster = None
-    for o in range(orders):
-        own_rows = sets.select("key", f"p{o}") if cluster is None else sets.select("key", f"p{o}").join(cluster, "key")
-        scope = [] if cluster is None else ["cluster"]
-        tokens = own_rows.mapInArrow(_explode_tokens(f"p{o}", bool(scope)), "token long, key binary" + (", cluster binary" if scope else ""))
-        heads = tokens.groupBy("token", *scope).agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last")
-        edges = tokens.join(heads, ["token", *scope]).where("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
-        found = connected_components(edges, name="clusters").select(F.col("node").alias("key"), F.col("component").alias("cluster"))
-        cluster = materialize(found, "cluster")
-
-    # Whole sets of clustered documents only, read from their texts again.
-    wanted = sets.join(cluster, "key").groupBy("h").agg(F.lit(1).alias("one")).select("h")
+    for c in pre:
+        own_rows = sets.select("node", "n", c) if cluster is None else sets.select("node", "n", c).join(cluster, "node")
+        local = own_rows.mapInArrow(lambda b, c=c: _prefix_tokens(b, c, percent, True), EDGES)
+        listed = own_rows.mapInArrow(lambda b, c=c: _prefix_tokens(b, c, percent, False), "token long, node long, n int, big byte")
+        dealt = listed.repartition(parts, "token").sortWithinPartitions("token", "node").mapInArrow(lambda b: _dealt_edges(b, percent), EDGES)
+        counted = local.unionByName(dealt).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"), F.max("big").alias("big"))
+        edges = counted.where(F.col("big") | _enough(percent, F.col("na"), F.col("nb"), F.col("shared"))).select("a", "b")
+        found = connected_components(edges, name="clusters")
+        cluster = materialize(found.select("node", F.col("component").alias("cluster")), "cluster")
+
+    # Pairs that no order's prefixes rule out connect to smaller clusters, whose whole sets are read from texts again.
+    counts = lambda: sent.value
+    near = _in_cells(sets.join(cluster, "node"), ["n", *pre], F.col("n") * orders * (100 - percent) / 100 + 1, parts)
+    passed = near.mapInArrow(lambda b: _solve(b, _candidates, counts(), orders, percent), "a binary, b binary")
+    close = materialize(connected_components(passed, name="near").select(F.col("node").alias("key"), F.col("component").alias("cluster")), "near-cluster")
+    wanted = sets.join(close, "key").groupBy("key").agg(F.min("h").alias("h")).select("h").distinct()
     few = wanted.limit(1_000_001).count() <= 1_000_000
     texts = rows.join(F.broadcast(wanted) if few else wanted, "h", "left_semi").select("text", "h")
-
-    def whole(batches):
-        import pyarrow as pa
-
-        counts = sent.value
-        for batch in batches:
-            keys, tokens, pre = [], [], [[] for _ in range(orders)]
-            for t in batch.column("text").to_pylist():
-                s = shingles((t or "").encode("utf-8", "surrogatepass"), n)
-                keys.append(set_key(s))
-                tokens.append(s.tobytes())
-                for o in range(orders):
-                    pre[o].append(prefix(s, counts[o], o, percent).tobytes() if len(s) else b"")
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "tokens": pa.array(tokens, pa.binary()), **{f"p{o}": pa.array(pre[o], pa.binary()) for o in range(orders)}})
-
-    firsts = texts.mapInArrow(whole, f"key binary, tokens binary, {fields}").groupBy("key").agg(F.first("tokens").alias("tokens"), *[F.first(f"p{o}").alias(f"p{o}") for o in range(orders)])
-    members = materialize(firsts.join(cluster, "key"), "cluster-sets")
-    sizes = members.groupBy("cluster").agg(F.sum(F.length("tokens") / 8).alias("tokens_in"), F.count("*").alias("sets_in"))
-    cells = sizes.select("cluster", F.greatest(F.ceil(F.col("tokens_in") / CELL_TOKENS), F.ceil(F.col("sets_in") / CELL_SETS)).cast("int").alias("blocks"))
-    placed = members.join(cells, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
-    )
-    dealt = placed.withColumn("cell", F.explode(pairs)).select("cluster", "cell.i", "cell.j", "block", "key", "tokens", *[f"p{o}" for o in range(orders)])
-    dealt = dealt.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "key")
-    links = dealt.mapInArrow(lambda b: _solve(b, n, orders, percent), "a binary, b binary")
+    members = materialize(texts.mapInArrow(lambda b: prefixes(b, True), f"key binary, h long, n long, tokens binary, {fields}").join(close, "key"), "cluster-sets")
+    dealt = _in_cells(members, ["n", "tokens", *pre], F.col("n"), parts)
+    links = dealt.mapInArrow(lambda b: _solve(b, _verified, counts(), orders, percent), "a binary, b binary")
     linked = connected_components(links, name="links")
 
     # Back to documents: classes of equal sets first, then the classes that links connect.
@@ -315,24 +474,6 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, percent: int = 90, orders
     return found.unionByName(own.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def _explode_tokens(column: str, scoped: bool):
-    """A row for each prefix token."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            pre = batch.column(column).to_pylist()
-            sizes = [len(p) // 8 for p in pre]
-            index = pa.array(np.repeat(np.arange(len(pre)), sizes))
-            out = {"token": pa.array(np.frombuffer(b"".join(pre), np.int64)), "key": batch.column("key").take(index)}
-            if scoped:
-                out["cluster"] = batch.column("cluster").take(index)
-            yield pa.RecordBatch.from_pydict(out)
-
-    return run
-
-
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """docs without the documents whose component has a smaller doc_id; every column stays.
 
