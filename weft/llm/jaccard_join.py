@@ -27,6 +27,8 @@ CHUNK = 1 << 14
 #: Tokens of a block in a cell; a cell holds two blocks at most, 16 bytes or so for each token.
 CELL_TOKENS = 2_000_000
 CELL_SETS = 2_048
+#: Rows of (key, cluster), ids or hashes that are broadcast, under 50 bytes each; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Lists of one prefix token up to this length give all their pairs; the sets of longer ones are solved as one cluster.
 LIST = 12
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -82,6 +84,11 @@ def set_key(s: np.ndarray) -> bytes:
     return b"".join(int(np.bitwise_xor.reduce(mixed(s, k)) ^ mixed(s, k + 1).sum(dtype=np.uint64)).to_bytes(8, "little") for k in (2, 3)) if len(s) else b""
 
 
+def key_node(key: bytes) -> int:
+    """The first half of a key as a number."""
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
 def bucket(s: np.ndarray, order: int) -> np.ndarray:
     return (mixed(s, 2 + order) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
@@ -115,12 +122,12 @@ def _count_tables(batches, n: int, orders: int):
             for o in range(orders):
                 np.add.at(counts[o], bucket(s, o), 1)
         m = len(keys)
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "h": batch.column("h"), "key": pa.array(keys, pa.binary()), "n": pa.array(sizes, pa.int64()), "chunk": pa.nulls(m, pa.int32()), "data": pa.nulls(m, pa.binary())})
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "h": batch.column("h"), "key": pa.array(keys, pa.binary()), "node": pa.array(map(key_node, keys), pa.int64()), "n": pa.array(sizes, pa.int64()), "chunk": pa.nulls(m, pa.int32()), "data": pa.nulls(m, pa.binary())})
     parts = counts.reshape(-1, CHUNK)
     some = np.flatnonzero(parts.any(1))
     data = [zlib.compress(parts[i].tobytes(), 1) for i in some]
     m = len(data)
-    yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(m, pa.int64()), "h": pa.nulls(m, pa.int64()), "key": pa.nulls(m, pa.binary()), "n": pa.nulls(m, pa.int64()), "chunk": pa.array(some, pa.int32()), "data": pa.array(data, pa.binary())})
+    yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(m, pa.int64()), "h": pa.nulls(m, pa.int64()), "key": pa.nulls(m, pa.binary()), "node": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()), "chunk": pa.array(some, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
 def _sum_chunks(batches):
@@ -268,18 +275,18 @@ def _batch(a=(), b=(), na=(), nb=(), big=()):
 EDGES = "a long, b long, na long, nb long, big boolean"
 
 
-def _edges(token: np.ndarray, node: np.ndarray, size: np.ndarray, big: np.ndarray, percent: int):
+def _edges(token: np.ndarray, node: np.ndarray, size: np.ndarray, percent: int, long: bool = False):
     """Edges of whole tokens, sorted: all pairs of fitting sizes of a short list; of a long one, each node with the smallest."""
     first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
     length = np.diff(np.append(first, len(token)))
-    long = (length > LIST) | np.maximum.reduceat(big, first).astype(bool)
     out = []
-    for d in range(2, LIST + 1):
-        runs = first[(length == d) & ~long]
-        if len(runs):
-            i, j = np.triu_indices(d, 1)
-            out.append((np.add.outer(runs, i).ravel(), np.add.outer(runs, j).ravel(), False))
-    inside = np.repeat(long, length)
+    if not long:
+        for d in range(2, LIST + 1):
+            runs = first[length == d]
+            if len(runs):
+                i, j = np.triu_indices(d, 1)
+                out.append((np.add.outer(runs, i).ravel(), np.add.outer(runs, j).ravel(), False))
+    inside = np.repeat(length > (1 if long else LIST), length)
     if inside.any():
         far = np.flatnonzero(inside)
         out.append((np.repeat(first, length)[far], far, True))
@@ -292,74 +299,65 @@ def _edges(token: np.ndarray, node: np.ndarray, size: np.ndarray, big: np.ndarra
             yield _batch(node[x], node[y], size[x], size[y], np.full(len(x), whole))
 
 
-def _sorted_unique(token, node, size, big):
+def _sorted_unique(token, node, size):
     order = np.lexsort((node, token))
-    token, node, size, big = token[order], node[order], size[order], big[order]
+    token, node, size = token[order], node[order], size[order]
     once = np.ones(len(token), bool)
     once[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-    return token[once], node[once], size[once], big[once]
-
+    return token[once], node[once], size[once]
 
-def _prefix_tokens(batches, column: str, percent: int, local: bool):
-    """Prefix tokens with their sets' nodes and sizes, in parts of bounded size.
 
-    A token that is long within a part already sends one row, marked big, whatever its number there; the part's own edges
-    from that row's node to the others are what ``local`` asks for instead.
-    """
+def _listed(token: np.ndarray, node: np.ndarray, size: np.ndarray, salt: int):
+    """Rows (token, node, n) of one part of a task. A token with a long list here keeps LIST + 1 of its rows, enough to be long
+    wherever it is gathered; the others go, with its first row, to lists of made-up tokens of the same length, so that no
+    task gets them all."""
+    token, node, size = _sorted_unique(token, node, size)
+    first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    length = np.diff(np.append(first, len(token)))
+    start = np.repeat(first, length)
+    place = np.arange(len(token)) - start
+    over = place > LIST
+    if over.any():
+        token = token.copy()
+        group = (place[over] - 1) // LIST
+        made = mixed(token[over].view(np.uint64) ^ mixed(group.astype(np.uint64) + np.uint64(salt), 2), 3).view(np.int64)
+        heads = np.flatnonzero(over)[(place[over] - 1) % LIST == 0]
+        names = made[(place[over] - 1) % LIST == 0]
+        token[over] = made
+        # Every made-up list has the token's first row, and is filled up from its short lists' rows to stay long.
+        extra = [(np.full(LIST + 1, t), node[a : a + LIST + 1], size[a : a + LIST + 1]) for t, a in zip(names, start[heads], strict=True)]
+        token, node, size = (np.concatenate([x, *[e[k] for e in extra]]) for k, x in enumerate((token, node, size)))
     import pyarrow as pa
 
-    parts, held = [], 0
-
-    def done():
-        token, node, size = (np.concatenate(x) for x in zip(*parts, strict=True))
-        token, node, size, big = _sorted_unique(token, node, size, np.zeros(len(token), np.int8))
-        first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-        length = np.diff(np.append(first, len(token)))
-        many = np.repeat(length > LIST, length)
-        if local:
-            if many.any():
-                yield from _edges(token[many], node[many], size[many], big[many], percent)
-            return
-        big[many] = 1
-        keep = ~many
-        keep[first] = True
-        yield pa.RecordBatch.from_pydict({"token": pa.array(token[keep], pa.int64()), "node": pa.array(node[keep], pa.int64()), "n": pa.array(size[keep], pa.int32()), "big": pa.array(big[keep], pa.int8())})
-
-    for batch in batches:
-        pre = batch.column(column).to_pylist()
-        token = np.frombuffer(b"".join(pre), np.uint64)
-        sizes = [len(p) // 8 for p in pre]
-        if "cluster" in batch.schema.names:
-            token = mixed(token ^ np.repeat(np.asarray(batch.column("cluster")).view(np.uint64), sizes), 1)
-        parts.append((token.view(np.int64), np.repeat(np.asarray(batch.column("node")), sizes), np.repeat(np.asarray(batch.column("n")), sizes)))
-        held += len(token)
-        if held > 2_000_000:
-            yield from done()
-            parts, held = [], 0
-    if held:
-        yield from done()
+    return pa.RecordBatch.from_pydict({"token": pa.array(token, pa.int64()), "node": pa.array(node, pa.int64()), "n": pa.array(size, pa.int32())})
 
 
 def _dealt_edges(batches, percent: int):
     """Edges of tokens that a task gets whole, sorted. A list that goes on in the next batch is carried there; of a long one
     its first row only."""
-    carried = None
+    carried, long = None, False
     for batch in batches:
-        now = [np.asarray(batch.column(k)) for k in range(4)]
+        now = [np.asarray(batch.column(k)) for k in range(3)]
         if not len(now[0]):
             continue
         if carried is not None:
-            now = [np.concatenate(x) for x in zip(carried, now, strict=True)]
-        token, node, size, big = _sorted_unique(*now)
+            if long and now[0][0] != carried[0][0]:
+                carried, long = None, False
+            else:
+                now = [np.concatenate(x) for x in zip(carried, now, strict=True)]
+        token, node, size = _sorted_unique(*now)
         cut = int(np.searchsorted(token, token[-1]))
         if cut:
-            yield from _edges(token[:cut], node[:cut], size[:cut], big[:cut], percent)
-        carried = [x[cut:] for x in (token, node, size, big)]
-        if len(carried[0]) > LIST:
-            yield from _edges(*carried, percent)
-            carried = [x[:1].copy() for x in carried]
-            carried[3][:] = 1
-    if carried is not None:
+            head = int(np.searchsorted(token, token[0], side="right")) if long else 0
+            if head:
+                yield from _edges(token[:head], node[:head], size[:head], percent, True)
+            yield from _edges(token[head:cut], node[head:cut], size[head:cut], percent)
+            long = False
+        carried = [x[cut:] for x in (token, node, size)]
+        if long or len(carried[0]) > LIST:
+            yield from _edges(*carried, percent, True)
+            carried, long = [x[:1].copy() for x in carried], True
+    if carried is not None and not long:
         yield from _edges(*carried, percent)
     yield _batch()
 
@@ -379,7 +377,7 @@ def _in_cells(members: DataFrame, columns: list[str], weight, parts: int) -> Dat
     """Rows of clusters dealt to cells of bounded size: a cluster that fits is one; else each pair of its blocks is one."""
     sizes = members.groupBy("cluster").agg(F.sum(weight).alias("w"), F.count("*").alias("c"))
     cells = sizes.where("c > 1").select("cluster", F.greatest(F.ceil(F.col("w") / CELL_TOKENS), F.ceil(F.col("c") / CELL_SETS)).cast("int").alias("blocks"))
-    placed = members.join(cells, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    placed = members.join(_small(cells), "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.flatten(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.when(k == F.col("block"), _own(F.col("block"), F.col("blocks"))).otherwise(F.array(F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j"))))))
     )
@@ -387,6 +385,11 @@ def _in_cells(members: DataFrame, columns: list[str], weight, parts: int) -> Dat
     return dealt.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "key")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if its rows, counted here, are few; each has a key and a number."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def _own(block, blocks):
     """The cell of a block's own pairs."""
     return F.array(F.struct(block.alias("i"), block.alias("j")))
@@ -401,7 +404,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, percent: int = 90, orders
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    first = materialize(rows.mapInArrow(lambda b: _count_tables(b, n, orders), "doc_id long, h long, key binary, n long, chunk int, data binary"), "shingle-counts")
+    first = materialize(rows.mapInArrow(lambda b: _count_tables(b, n, orders), "doc_id long, h long, key binary, node long, n long, chunk int, data binary"), "shingle-counts")
     chunks = first.where("chunk is not null").select("chunk", "data")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = np.zeros((orders * BUCKETS // CHUNK, CHUNK), np.uint32)
@@ -412,55 +415,77 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, percent: int = 90, orders
     sent = spark.sparkContext.broadcast(table.reshape(orders, BUCKETS))
     del table
 
-    def prefixes(batches, whole: bool):
-        """Each task's distinct sets: key, a text hash, size and prefixes, perhaps with all tokens."""
+    def sets_of(batches, parts_of: tuple[str, ...]):
+        """Each task's distinct sets: key, size, prefixes or all tokens."""
         import pyarrow as pa
 
         counts, seen = sent.value, set()
         for batch in batches:
-            rows: dict[str, list] = {c: [] for c in ("key", "h", "n", *([] if not whole else ["tokens"]), *[f"p{o}" for o in range(orders)])}
-            for t, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True):
+            rows: dict[str, list] = {c: [] for c in ("key", "node", "n", *parts_of)}
+            for t in batch.column("text").to_pylist():
                 s = shingles((t or "").encode("utf-8", "surrogatepass"), n)
                 key = set_key(s)
                 if not len(s) or key in seen:
                     continue
                 seen.add(key)
                 rows["key"].append(key)
-                rows["h"].append(h)
+                rows["node"].append(key_node(key))
                 rows["n"].append(len(s))
-                if whole:
-                    rows["tokens"].append(s.tobytes())
-                for o in range(orders):
-                    rows[f"p{o}"].append(prefix(s, counts[o], o, percent).tobytes())
-            yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64() if c in ("h", "n") else pa.binary()) for c, v in rows.items()})
+                for c in parts_of:
+                    rows[c].append(s.tobytes() if c == "tokens" else prefix(s, counts[int(c[1:])], int(c[1:]), percent).tobytes())
+            yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64() if c in ("node", "n") else pa.binary()) for c, v in rows.items()})
 
-    pre = [f"p{o}" for o in range(orders)]
-    fields = ", ".join(f"{c} binary" for c in pre)
-    own = first.where("chunk is null").select("doc_id", "key", F.col("n").alias("n_shingles"))
-    sets = materialize(rows.select("text", "h").mapInArrow(lambda b: prefixes(b, False), f"key binary, h long, n long, {fields}").withColumn("node", F.xxhash64("key")), "prefixes")
-
-    # Clusters, for one order within those of the one before: what pairs with enough common prefix tokens connect, and what shares
-    # a token of a long list. Nodes are hashes of keys; that two keys have one merely puts them into one cluster.
-    cluster = None
-    for c in pre:
-        own_rows = sets.select("node", "n", c) if cluster is None else sets.select("node", "n", c).join(cluster, "node")
-        local = own_rows.mapInArrow(lambda b, c=c: _prefix_tokens(b, c, percent, True), EDGES)
-        listed = own_rows.mapInArrow(lambda b, c=c: _prefix_tokens(b, c, percent, False), "token long, node long, n int, big byte")
+    def lists_of(batches, column: str):
+        """Prefix tokens of one order with their sets' nodes and sizes, in parts of bounded size."""
+        from pyspark import TaskContext
+
+        parts, held, salt = [], 0, TaskContext.get().partitionId() * 1_000_003
+        for batch in batches:
+            pre = batch.column(column).to_pylist()
+            token = np.frombuffer(b"".join(pre), np.uint64)
+            sizes = [len(p) // 8 for p in pre]
+            if "cluster" in batch.schema.names:
+                token = mixed(token ^ np.repeat(np.asarray(batch.column("cluster")).view(np.uint64), sizes), 1)
+            parts.append((token.view(np.int64), np.repeat(np.asarray(batch.column("node")), sizes), np.repeat(np.asarray(batch.column("n")), sizes)))
+            held += len(token)
+            if held > 1_000_000:
+                yield _listed(*(np.concatenate(x) for x in zip(*parts, strict=True)), salt)
+                parts, held, salt = [], 0, salt + 100_003
+        if held:
+            yield _listed(*(np.concatenate(x) for x in zip(*parts, strict=True)), salt)
+
+    def clusters_of(listed: DataFrame) -> DataFrame:
+        """(node, cluster): what pairs with enough common prefix tokens connect, and what shares a token of a long list. Nodes are
+        halves of keys; that two keys have one merely puts them into one cluster."""
         dealt = listed.repartition(parts, "token").sortWithinPartitions("token", "node").mapInArrow(lambda b: _dealt_edges(b, percent), EDGES)
-        counted = local.unionByName(dealt).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"), F.max("big").alias("big"))
+        counted = dealt.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"), F.max("big").alias("big"))
         edges = counted.where(F.col("big") | _enough(percent, F.col("na"), F.col("nb"), F.col("shared"))).select("a", "b")
         found = connected_components(edges, name="clusters")
-        cluster = materialize(found.select("node", F.col("component").alias("cluster")), "cluster")
+        return materialize(found.select("node", F.col("component").alias("cluster")), "cluster")
+
+    def texts_of(keys: DataFrame) -> DataFrame:
+        """One text for each of the keys (column key), picked by its hash."""
+        wanted = own.join(keys, "key").groupBy("key").agg(F.min("h").alias("h")).select("h").distinct()
+        return rows.select("text", "h").join(_small(wanted), "h", "left_semi").select("text")
+
+    pre = [f"p{o}" for o in range(orders)]
+    fields = ", ".join(f"{c} binary" for c in pre)
+    own = first.where("chunk is null").select("doc_id", "h", "key", "node", F.col("n").alias("n_shingles"))
+    lists = "token long, node long, n int"
+
+    # Clusters by the first order over all sets, then by each further one within those of the one before.
+    cluster = clusters_of(rows.select("text").mapInArrow(lambda b: lists_of(sets_of(b, ("p0",)), "p0"), lists))
+    keys = own.where("n_shingles > 0").select("key", "node").distinct().join(cluster.select("node"), "node", "left_semi").select("key")
+    sets = materialize(texts_of(keys).mapInArrow(lambda b: sets_of(b, tuple(pre)), f"key binary, node long, n long, {fields}"), "prefixes")
+    for c in pre[1:]:
+        cluster = clusters_of(sets.select("node", "n", c).join(_small(cluster), "node").mapInArrow(lambda b, c=c: lists_of(b, c), lists))
 
     # Pairs that no order's prefixes rule out connect to smaller clusters, whose whole sets are read from texts again.
     counts = lambda: sent.value
-    near = _in_cells(sets.join(cluster, "node"), ["n", *pre], F.col("n") * orders * (100 - percent) / 100 + 1, parts)
+    near = _in_cells(sets.join(_small(cluster), "node"), ["n", *pre], F.col("n") * orders * (100 - percent) / 100 + 1, parts)
     passed = near.mapInArrow(lambda b: _solve(b, _candidates, counts(), orders, percent), "a binary, b binary")
     close = materialize(connected_components(passed, name="near").select(F.col("node").alias("key"), F.col("component").alias("cluster")), "near-cluster")
-    wanted = sets.join(close, "key").groupBy("key").agg(F.min("h").alias("h")).select("h").distinct()
-    few = wanted.limit(1_000_001).count() <= 1_000_000
-    texts = rows.join(F.broadcast(wanted) if few else wanted, "h", "left_semi").select("text", "h")
-    members = materialize(texts.mapInArrow(lambda b: prefixes(b, True), f"key binary, h long, n long, tokens binary, {fields}").join(close, "key"), "cluster-sets")
+    members = materialize(texts_of(close.select("key")).mapInArrow(lambda b: sets_of(b, ("tokens", *pre)), f"key binary, node long, n long, tokens binary, {fields}").drop("node").join(_small(close), "key"), "cluster-sets")
     dealt = _in_cells(members, ["n", "tokens", *pre], F.col("n"), parts)
     links = dealt.mapInArrow(lambda b: _solve(b, _verified, counts(), orders, percent), "a binary, b binary")
     linked = connected_components(links, name="links")
@@ -481,8 +506,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """
     found = materialize(jaccard_components(docs, **options).select("doc_id", "component_id"), "components")
     gone = found.where("component_id < doc_id").select("doc_id").distinct()
-    few = gone.limit(1_000_001).count() <= 1_000_000
-    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    left = docs.join(_small(gone), "doc_id", "left_anti")
     repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.limit(1).count() == 0:
         return left
