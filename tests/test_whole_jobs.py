@@ -20,3 +20,10 @@ def test_span_grid_has_every_order(spark, tmp_path):
     lines = spark.createDataFrame([(k, n, 2.0) for k in (5, 1999, 2000, 900_000) for n in (1, 2, 3)], "l_orderkey long, l_linenumber int, l_quantity double")
     got = catalog.QUERIES["span_grid"](spark, saved(spark, tmp_path, lineitem=lines))
     assert values(got, "l_orderkey", "cells") == [(k, 3) for k in (5, 1999, 2000, 900_000)]
+
+
+def test_cycles_over_all_orders(spark, tmp_path):
+    """A cycle of two far customers in far orders whose keys no sample of every 40th order has."""
+    orders = spark.createDataFrame([(900_001, 70_001), (900_002, 80_002), (900_003, 70_001), (3, 1), (4, 2)], "o_orderkey long, o_custkey long")
+    got = catalog.QUERIES["cycle_examples"](spark, saved(spark, tmp_path, orders=orders))
+    assert values(got, "component", "length") == [(70_001, 2)]

@@ -69,10 +69,10 @@ def placeholder_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cycle_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A shortest cycle of each strong component of part sizes that follow one another in a supplier's list."""
-    from weft.plans.graphs import _trades
+    """A shortest cycle of each strong component of customers whose orders follow one another, over all orders."""
+    from weft.plans.graphs import order_edges
 
-    e = _trades(spark, sf_dir)
+    e = order_edges(spark, sf_dir)
     return assemble.shortest_cycle(e, graph.strong_components(e)).select("component", "length")
 
 

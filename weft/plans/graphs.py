@@ -44,6 +44,13 @@ def siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.siblings(e).groupBy("node").agg(F.count("*").alias("n"), F.min("sibling").alias("first_sibling"))
 
 
+def order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directed edges between customers: the one of each order to the one of the next order."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("a"))
+    nxt = o.select((F.col("o_orderkey") - 1).alias("o_orderkey"), F.col("a").alias("b"))
+    return o.join(nxt, "o_orderkey").where("a <> b").select("a", "b").distinct()
+
+
 def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Directed edges between 300 classes of customers: the one of some orders to the one of the next order."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 300).alias("o_custkey")).where("o_orderkey < 15000")
