@@ -5,6 +5,9 @@ windows (a short one is one window), so part of a long item is found too. A wind
 k edits shares at least m - q + 1 - k q of its q-grams with its place in the document, and these lie on k + 1 adjacent
 diagonals. So hits are counted in bands of 2 (k + 1) diagonals that overlap by half: a band with fewer hits holds no
 occurrence, and the others are verified by banded alignment. Every document is scanned whole, each by itself.
+
+Excerpts begin anywhere, so stretches of 80 bytes at every place of an item are looked for too, from the same hits: the
+lemma holds for hits of one band that lie within a stretch. Items under 40 bytes are found as whole words without edits.
 """
 
 from __future__ import annotations
@@ -16,12 +19,18 @@ from pyspark.sql import functions as F
 Q = 10
 #: Window length and step in bytes of the normal form.
 WINDOW, STEP = 160, 80
-#: Benchmark texts with fewer bytes than this can't be told from common phrases and aren't searched.
+#: Bytes of the shortest excerpt that counts as a leak, at any place of an item.
+PASSAGE = 80
+#: Benchmark texts with fewer bytes than this are only found without edits, between spaces.
 LEAST = 40
 #: Edits allowed for each byte of a window.
 EDITS = 0.08
 #: Bytes of benchmark text sent to executors at once; more are searched for in several passes.
 BENCHMARK_BYTES = 4_000_000
+#: Of a stretch: edits, hits at least, and half a band's diagonals.
+PASSAGE_EDITS = int(PASSAGE * EDITS)
+PASSAGE_HITS = PASSAGE - Q + 1 - PASSAGE_EDITS * Q
+PASSAGE_HALF = PASSAGE_EDITS + 1
 _SLOTS = 22
 _C = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -50,16 +59,25 @@ class Windows:
     """Windows of benchmark texts with an index of their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.item, self.text, self.offset = [], [], []
+        self.item, self.text, self.offset, self.row = [], [], [], []
+        # Whole items of LEAST bytes or more, with a gap after each that no stretch spans; short ones by their first word.
+        self.whole, self.base, self.short = [], [], {}
+        base = 0
         for item, text in items:
             raw = normal(text or "")[0].tobytes().strip()
             if len(raw) < LEAST:
+                if raw:
+                    self.short.setdefault(raw.split(b" ", 1)[0], []).append((item, raw))
                 continue
+            self.whole.append((item, raw))
+            self.base.append(base)
+            base += len(raw) + PASSAGE
             for a in range(0, max(1, len(raw) - WINDOW + STEP), STEP) if len(raw) > WINDOW else [0]:
                 a = min(a, max(0, len(raw) - WINDOW))
                 self.item.append(item)
                 self.text.append(raw[a : a + WINDOW])
                 self.offset.append(a)
+                self.row.append(len(self.whole) - 1)
         m = np.array([len(t) for t in self.text], np.int64)
         self.edits = (m * EDITS).astype(np.int64)
         self.least = m - Q + 1 - self.edits * Q
@@ -68,25 +86,38 @@ class Windows:
         order = np.argsort(hashes, kind="stable")
         self.window = np.concatenate([np.full(len(g), w, np.int64) for g, w in found])[order] if found else np.zeros(0, np.int64)
         self.place = np.concatenate([np.arange(len(g)) for g, _ in found])[order] if found else np.zeros(0, np.int64)
+        # Each gram's place among all items; windows overlap, so only the first entry of a place counts for stretches.
+        start = np.array([self.base[r] + a for r, a in zip(self.row, self.offset, strict=True)], np.int64)
+        self.at = start[self.window] + self.place
+        self.fresh = np.zeros(len(self.at), bool)
+        self.fresh[np.unique(self.at, return_index=True)[1]] = True
+        self.base, self.row = np.array(self.base, np.int64), np.array(self.row, np.int64)
         self.gram, self.first, self.times = np.unique(hashes[order], return_index=True, return_counts=True)
         self.slot = np.zeros(1 << _SLOTS, bool)
         self.slot[self.gram >> np.uint64(64 - _SLOTS)] = True
 
-    def bands(self, raw: np.ndarray) -> list[tuple[int, int, int]]:
-        """(window, lowest diagonal, highest) of the bands with enough hits."""
+    def hits(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the text and index entries of the grams that both have."""
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not len(self.gram):
+            return none
         g = grams(raw)
         at = np.flatnonzero(self.slot[g >> np.uint64(64 - _SLOTS)])
         if not len(at):
-            return []
+            return none
         k = np.minimum(np.searchsorted(self.gram, g[at]), len(self.gram) - 1)
         true = self.gram[k] == g[at]
         at, k = at[true], k[true]
-        if len(at) < self.least.min():
-            return []
+        if len(at) < min(self.least.min(), PASSAGE_HITS):
+            return none
         # Each hit with all windows that have its gram.
         n = self.times[k]
         hit = np.repeat(at, n)
         entry = np.repeat(self.first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return hit, entry
+
+    def bands(self, raw: np.ndarray, hit: np.ndarray, entry: np.ndarray) -> list[tuple[int, int, int]]:
+        """(window, lowest diagonal, highest) of the bands with enough hits."""
         window = self.window[entry]
         enough = np.bincount(window, minlength=len(self.least))[window] >= self.least[window]
         window = window[enough]
@@ -99,20 +130,65 @@ class Windows:
         fine = times >= self.least[key // span]
         return [(int(w), int(b * (self.edits[w] + 1) - WINDOW), int((b + 2) * (self.edits[w] + 1) - WINDOW - 1)) for w, b in zip(key[fine] // span, key[fine] % span, strict=True)]
 
+    def stretches(self, hit: np.ndarray, entry: np.ndarray, done: set[int]) -> dict[tuple[int, int], set[int]]:
+        """Places of an item from which PASSAGE bytes have enough hits in a band, by (item's row, lowest diagonal)."""
+        fresh = self.fresh[entry]
+        hit, at = hit[fresh], self.at[entry[fresh]]
+        n = PASSAGE_HITS - 1
+        if len(at) <= n:
+            return {}
+        band = (hit - at) // PASSAGE_HALF
+        keys, at = np.concatenate([band, band - 1]), np.concatenate([at, at])
+        order = np.lexsort((at, keys))
+        keys, at = keys[order], at[order]
+        out: dict[tuple[int, int], set[int]] = {}
+        for i in np.flatnonzero((keys[n:] == keys[:-n]) & (at[n:] - at[:-n] <= PASSAGE - Q)):
+            row = int(np.searchsorted(self.base, at[i], "right")) - 1
+            base, size = int(self.base[row]), len(self.whole[row][1])
+            if row not in done and size >= PASSAGE:
+                places = range(max(0, int(at[i + n]) - base - (PASSAGE - Q)), min(int(at[i]) - base, size - PASSAGE) + 1)
+                out.setdefault((row, int(keys[i]) * PASSAGE_HALF + base), set()).update(places)
+        return out
+
     def find(self, raw: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(window, start, end, edits) of verified occurrences, the best of each window."""
+        """(item, start, end, edits) of verified occurrences: the best of each window, where an item has none the first and
+        last stretch of each band and one without edits or in the middle, and the first place of each short item."""
         best: dict[int, tuple[int, int, int]] = {}
-        for w, low, high in self.bands(raw):
+        hit, entry = self.hits(raw)
+        for w, low, high in self.bands(raw, hit, entry) if len(hit) else []:
             if w in best and best[w][2] == 0:
                 continue
-            m, k = len(self.text[w]), int(self.edits[w])
-            a, b = max(0, low - k), min(len(raw), high + m + k)
-            region = raw[a:b].tobytes()
-            exact = region.find(self.text[w])
-            got = (exact, exact + m, 0) if exact >= 0 else align(self.text[w], region, low - a - k, high - a + k, k)
+            got = occurrence(self.text[w], raw, low, high, int(self.edits[w]))
             if got and (w not in best or got[2] < best[w][2]):
-                best[w] = (a + got[0], a + got[1], got[2])
-        return [(w, *x) for w, x in best.items()]
+                best[w] = got
+        out = [(self.item[w], *x) for w, x in best.items()]
+        for (row, low), places in self.stretches(hit, entry, {int(self.row[w]) for w in best}).items() if len(hit) else []:
+            item, text = self.whole[row]
+            whole, places = raw.tobytes(), sorted(places)
+            best_first = [p for p in places if text[p : p + PASSAGE] in whole][:1] or places[len(places) // 2 :]
+            for way in (places, places[::-1], best_first):
+                tried = (occurrence(text[p : p + PASSAGE], raw, low + p, low + p + 2 * PASSAGE_HALF - 1, PASSAGE_EDITS) for p in way)
+                if not (got := next(filter(None, tried), None)):
+                    break
+                if (item, *got) not in out:
+                    out.append((item, *got))
+        if self.short:
+            text = b" " + raw.tobytes().strip() + b" "
+            lead = len(raw) - len(raw.tobytes().lstrip())
+            for word in self.short.keys() & set(text.split()):
+                for item, short in self.short[word]:
+                    if (a := text.find(b" " + short + b" ")) >= 0:
+                        out.append((item, a + lead, a + lead + len(short), 0))
+        return out
+
+
+def occurrence(text: bytes, raw: np.ndarray, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
+    """(start, end, edits) of the text's best place in raw on diagonals low .. high, if within the edits."""
+    a, b = max(0, low - edits), min(len(raw), high + len(text) + edits)
+    region = raw[a:b].tobytes()
+    exact = region.find(text)
+    got = (exact, exact + len(text), 0) if exact >= 0 else align(text, region, low - a - edits, high - a + edits, edits)
+    return (a + got[0], a + got[1], got[2]) if got else None
 
 
 def align(window: bytes, region: bytes, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
@@ -164,17 +240,17 @@ def _groups(benchmark: DataFrame) -> list[Windows]:
     for k in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
         parts.append(Windows(sorted(((r.item_id, r.text) for r in part.collect()), key=lambda x: (x[0] is None, x))))
-    return [p for p in parts if p.item]
+    return [p for p in parts if p.item or p.short]
 
 
 LEAKS = "doc_id long, item_id long, start long, end long, edits long, windows long"
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """A row for each document and benchmark item of which a window occurs: doc_id, item_id, start, end, edits, windows.
+    """A row for each document and benchmark item of which a window or a stretch occurs: doc_id, item_id, start, end, edits, windows.
 
     start and end are code points from the first to the last found window, edits the fewest of any, windows how many
-    were found. docs needs doc_id and text, benchmark item_id and text; null and empty texts match nothing, null and
+    were found; where there is no window, the stretches looked at stand for them. docs needs doc_id and text, benchmark item_id and text; null and empty texts match nothing, null and
     repeated ids keep their rows, and other columns aren't read. Without benchmark texts there are no rows.
     """
     out = None
@@ -198,8 +274,8 @@ def _leaks(docs: DataFrame, windows: Windows):
                     continue
                 raw, at = normal(text)
                 items: dict = {}
-                for k, a, b, edits in w.find(raw):
-                    items.setdefault(w.item[k], []).append((a, b, edits))
+                for item, a, b, edits in w.find(raw):
+                    items.setdefault(item, []).append((a, b, edits))
                 for item, got in items.items():
                     a, b = place_in(text, at, min(x[0] for x in got), max(x[1] for x in got))
                     out.append({"doc_id": doc.as_py(), "item_id": item, "start": a, "end": b, "edits": min(x[2] for x in got), "windows": len(got)})
