@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from weft.operators import assemble, graph
 from weft.plans import catalog
 
 
@@ -27,3 +28,23 @@ def test_cycles_over_all_orders(spark, tmp_path):
     orders = spark.createDataFrame([(900_001, 70_001), (900_002, 80_002), (900_003, 70_001), (3, 1), (4, 2)], "o_orderkey long, o_custkey long")
     got = catalog.QUERIES["cycle_examples"](spark, saved(spark, tmp_path, orders=orders))
     assert values(got, "component", "length") == [(70_001, 2)]
+
+
+def test_long_chain_of_components(spark, monkeypatch):
+    """The smallest node reaches all 70 components, so one round by smallest labels alone finds one of them."""
+    monkeypatch.setattr(graph, "LOCAL_EDGES", -1)
+    rows = [(2 * i, 2 * j) for i in range(70) for j in range(i + 1, 70)] + [e for i in range(70) for e in ((2 * i, 2 * i + 1), (2 * i + 1, 2 * i))]
+    got = graph.strong_components(spark.createDataFrame(rows, "a int, b int"))
+    assert values(got, "node", "component") == [(n, n - n % 2) for n in range(140)]
+
+
+def test_cycle_and_hierarchies_deeper_than_64(spark, monkeypatch):
+    monkeypatch.setattr(graph, "LOCAL_EDGES", -1)
+    n = 66
+    ring = spark.createDataFrame([(k, (k + 1) % n) for k in range(n)], "a int, b int")
+    members = spark.createDataFrame([(k, 0) for k in range(n)], "node int, component int")
+    assert values(assemble.shortest_cycle(ring, members), "component", "length") == [(0, n)]
+    chain = spark.createDataFrame([(k + 1, k) for k in range(n)], "child int, parent int")
+    assert values(graph.descendants(chain, spark.createDataFrame([(0,)], "node int")), "node") == [(k,) for k in range(1, n + 1)]
+    kinds = spark.createDataFrame([(0, "top")], "node int, kind string")
+    assert values(graph.nearest_of_type(chain, kinds, "top"), "node", "ancestor") == [(k, 0) for k in range(1, n + 1)]

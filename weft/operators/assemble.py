@@ -138,13 +138,15 @@ def placeholder_boxes(items: DataFrame, page: str, box: list[str], area: Column)
     return j.where((F.col("items") >= 3) & ((origin & (F.col("share") >= 0.30)) | ((F.col("share") >= 0.20) & (F.col("area") >= 0.85)))).select(page, F.round("share", 6).alias("share"))
 
 
-def shortest_cycle(edges: DataFrame, members: DataFrame, *, most: int = 64) -> DataFrame:
+def shortest_cycle(edges: DataFrame, members: DataFrame) -> DataFrame:
     """Shortest closed path through the smallest node of each strong component (node, component): component, cycle, length.
 
     Breadth-first from all those nodes, keeping one path, the first by text, for each node. Few edges inside components,
     which are counted first, are walked by one task; many in rounds over tables.
     """
-    from weft.operators.graph import LOCAL_EDGES, in_one_task
+    from itertools import count
+
+    from weft.operators.graph import LOCAL_EDGES, in_one_task, joined
     from weft.sources.scratch import materialize
 
     m = members.select(F.col("node").alias("a"), "component")
@@ -175,9 +177,10 @@ def shortest_cycle(edges: DataFrame, members: DataFrame, *, most: int = 64) -> D
         return in_one_task(inner, solve, f"component {kind}, cycle string, length int")
     front = inner.where("a = component").select("component", F.col("b").alias("at"), F.concat_ws(">", "a", "b").alias("path"))
     known, out = None, None
-    for length in range(1, most + 1):
-        closed = front.where("at = component").groupBy("component").agg(F.min("path").alias("cycle")).withColumn("length", F.lit(length))
-        out = closed if out is None else out.unionByName(closed.join(out.select("component"), "component", "left_anti"))
+    for length in count(1):
+        closed = materialize(front.where("at = component").groupBy("component").agg(F.min("path").alias("cycle")).withColumn("length", F.lit(length)), "closed")
+        if out is None or not closed.isEmpty():
+            out = joined(out, closed, length)
         left = front.where("at <> component").groupBy("component", "at").agg(F.min("path").alias("path"))
         left = left.join(out.select("component"), "component", "left_anti")
         if known is not None:
@@ -186,7 +189,7 @@ def shortest_cycle(edges: DataFrame, members: DataFrame, *, most: int = 64) -> D
         if left.isEmpty():
             break
         seen = left.select("component", "at")
-        known = seen if known is None else known.unionByName(seen)
+        known = joined(known, seen, length)
         front = materialize(left.join(inner.withColumnRenamed("a", "at"), ["component", "at"]).select("component", F.col("b").alias("at"), F.concat_ws(">", "path", "b").alias("path")), "cycle")
     return out
 

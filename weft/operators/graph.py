@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,37 +51,45 @@ def ancestor_paths(edges: DataFrame, *, depth: int, paths: int) -> DataFrame:
     return ranked.where(F.col("rank") <= paths).select("node", "path", "length", (F.col("cut") | (F.col("n") > paths)).alias("truncated"))
 
 
-def nearest_of_type(edges: DataFrame, kinds: DataFrame, kind: str, *, most: int = 32) -> DataFrame:
+def joined(known: DataFrame | None, more: DataFrame, k: int) -> DataFrame:
+    """known and more, written anew every 16th time, so that plans of deep graphs stay small."""
+    known = more if known is None else known.unionByName(more)
+    return materialize(known, "known") if k % 16 == 15 else known
+
+
+def nearest_of_type(edges: DataFrame, kinds: DataFrame, kind: str) -> DataFrame:
     """(node, ancestor): the first ancestors of one type on every branch; a branch isn't followed beyond one.
 
-    kinds has node and kind.
+    kinds has node and kind. Branches are followed to their end, and each (node, place) once, so cycles end too.
     """
     edges = edges.select("child", "parent").distinct()
     typed = edges.join(kinds.select(F.col("node").alias("parent"), F.col("kind")), "parent", "left").withColumn("hit", F.coalesce(F.col("kind") == kind, F.lit(False)))
     front = typed.select(F.col("child").alias("node"), F.col("parent").alias("at"), "hit")
-    found = None
-    for _ in range(most):
-        front = materialize(front.distinct(), "nearest")
-        hits = front.where("hit").select("node", F.col("at").alias("ancestor"))
-        found = hits if found is None else found.unionByName(hits)
+    seen = None
+    for k in count():
+        front = front.distinct()
+        if seen is not None:
+            front = front.join(seen.select("node", "at"), ["node", "at"], "left_anti")
+        front = materialize(front, "nearest")
+        seen = joined(seen, front.select("node", "at", "hit"), k)
         if front.where("not hit").isEmpty():
             break
         front = front.where("not hit").join(typed.select(F.col("child").alias("at"), F.col("parent").alias("nxt"), F.col("hit").alias("h")), "at").select("node", F.col("nxt").alias("at"), F.col("h").alias("hit"))
-    return found.distinct()
+    return seen.where("hit").select("node", F.col("at").alias("ancestor")).distinct()
 
 
-def descendants(edges: DataFrame, flagged: DataFrame, *, most: int = 64) -> DataFrame:
+def descendants(edges: DataFrame, flagged: DataFrame) -> DataFrame:
     """node of every descendant of the flagged nodes (column node), over edges (child, parent)."""
     edges = edges.select("child", "parent").distinct()
     front, known = flagged.select("node").distinct(), None
-    for _ in range(most):
+    for k in count():
         grown = front.join(edges, front["node"] == edges["parent"]).select(F.col("child").alias("node")).distinct()
         if known is not None:
             grown = grown.join(known, "node", "left_anti")
         front = materialize(grown, "reach")
         if front.isEmpty():
             break
-        known = front if known is None else known.unionByName(front)
+        known = joined(known, front, k)
     return known if known is not None else front
 
 
@@ -154,11 +164,13 @@ def in_one_task(df: DataFrame, work, schema: str) -> DataFrame:
     return df.coalesce(1).mapInArrow(run, schema)
 
 
-def strong_components(edges: DataFrame, *, most: int = 64) -> DataFrame:
+def strong_components(edges: DataFrame) -> DataFrame:
     """(node, component) of nodes on cycles of two nodes or more: component is the smallest node of the cycle's component.
 
     What peeling leaves is solved by one task if it is small. Else each round gives every node the smallest label that
-    can reach it and the smallest it can reach; where both are one node, its component is found and taken out.
+    can reach it and the smallest it can reach; where both are one node, its component is found and taken out. Nodes of a
+    component have both labels in common, so edges between other labels go too. The component of the smallest node left
+    is found each time, so rounds go on until no edge is left.
     """
     left, found = cyclic_core(edges.where("a <> b")), None
     kind = edges.schema["a"].dataType.simpleString()
@@ -177,7 +189,7 @@ def strong_components(edges: DataFrame, *, most: int = 64) -> DataFrame:
         """(node, label) with the smallest node that reaches each node, itself included."""
         nodes = e.select(F.col("a").alias("node")).union(e.select(F.col("b").alias("node"))).distinct()
         labels, before = nodes.withColumn("label", F.col("node")), None
-        for _ in range(10_000):
+        while True:
             moved = e.join(labels, e["a"] == labels["node"]).select(F.col("b").alias("node"), "label")
             labels = materialize(labels.union(moved).groupBy("node").agg(F.min("label").alias("label")), "spread")
             total = tuple(labels.agg(F.sum(F.xxhash64("node", "label").cast("decimal(38,0)"))).first())
@@ -186,15 +198,14 @@ def strong_components(edges: DataFrame, *, most: int = 64) -> DataFrame:
             before = total
         return labels
 
-    for _ in range(most):
-        if left.isEmpty():
-            break
+    while not left.isEmpty():
         forth = spread(left).withColumnRenamed("label", "f")
         back = spread(left.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumnRenamed("label", "g")
-        done = materialize(forth.join(back, "node").where("f = g").select("node", F.col("f").alias("component")), "strong")
+        labels = materialize(forth.join(back, "node"), "labels")
+        done = materialize(labels.where("f = g").select("node", F.col("f").alias("component")), "strong")
         found = done if found is None else found.unionByName(done)
-        gone = done.select("node")
-        left = cyclic_core(left.join(gone.withColumnRenamed("node", "a"), "a", "left_anti").join(gone.withColumnRenamed("node", "b"), "b", "left_anti"))
+        rest = labels.where("f <> g")
+        left = cyclic_core(left.join(rest.withColumnRenamed("node", "a"), "a").join(rest.withColumnRenamed("node", "b"), ["b", "f", "g"]).select("a", "b"))
     if found is None:
         found = edges.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
     return found.join(found.groupBy("component").count().where("count > 1").select("component"), "component", "left_semi").select("node", "component")
