@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
-from weft.llm import decontaminate
+from pyspark.sql import functions as F
+
+from weft.llm import decontaminate, mixing
 
 
 def test_excerpts_that_begin_anywhere(spark):
@@ -27,3 +29,17 @@ def test_excerpts_that_begin_anywhere(spark):
             assert r.edits == 0 and items[r.item_id][1][a:b].strip() in text[r.doc_id][r.start - 8 : r.end + 8] and r.end - r.start <= b - a + 16
     assert text[200][[r for r in got if r.item_id == 50][0].start :].startswith("Short  item")
     assert decontaminate.without_leaks(frame, bench).count() == len(docs) - 7
+
+
+def test_full_cells_pass_their_tokens_on(spark):
+    """Rare values get all they have, the others the rest of the budget; reachable targets are met."""
+    cells = [("a", "x", 9000), ("a", "y", 500), ("b", "x", 400), ("b", "y", 100)]
+    docs = spark.createDataFrame([(k, "t", s, l, n) for k, (s, l, n) in enumerate(cells)], "doc_id long, text string, source string, lang string, n long")
+    share = lambda **v: spark.createDataFrame(list(v.items()), "value string, share double")
+    targets = {"source": share(a=0.9, b=0.1), "lang": share(x=0.85, y=0.15), "topic": share(brief=1.0)}
+    got = mixing.mix(docs, tokens=F.col("n"), targets=targets, budget=0.45).withColumn("e", F.col("mix_probability") * F.col("n"))
+    total = got.agg(F.sum("e")).first()[0]
+    by = {r[0]: r[1] / total for d in ("source", "lang") for r in got.groupBy(d).agg(F.sum("e")).collect()}
+    assert abs(total - 4500) < 1 and all(r.mix_probability <= 1 for r in got.collect())
+    # b has 500 tokens for the 450 it is due; y has 600 for 675 and gets these, x the rest.
+    assert abs(by["b"] - 0.1) < 1e-3 and abs(by["y"] - 600 / 4500) < 1e-3

@@ -7,6 +7,9 @@ the probability with which each of its documents is sampled.
 
 from __future__ import annotations
 
+import logging
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,19 +67,67 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], *, rounds: int = 12, t
     return now.drop(*[f"want_{d}" for d in DIMENSIONS])
 
 
+def filled(rows: DataFrame, group: list[str], weight: str, most: str, want: Column) -> DataFrame:
+    """rows with each group's weights times one factor, so that they add up to want when each is cut at most.
+
+    Taken by most / weight, rows reach their bound one after another; the factor is that of the first row which the rest
+    of want doesn't bring to its bound. Where all bounds add up to less than want, every row reaches its own.
+    """
+    ratio = F.col(most) / F.col(weight)
+    w = Window.partitionBy(*group)
+    ahead = F.coalesce(F.sum(most).over(w.orderBy("_ratio", "_tie").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rest = F.sum(weight).over(w.orderBy("_ratio", "_tie").rowsBetween(0, Window.unboundedFollowing))
+    got = rows.where(F.col(weight) > 0).withColumn("_ratio", ratio).withColumn("_tie", F.xxhash64(*rows.columns)).withColumn("_f", (want - ahead) / rest)
+    factor = F.coalesce(F.max(F.when(F.col("_f") <= F.col("_ratio"), F.col("_f"))).over(w), F.max("_ratio").over(w))
+    return got.withColumn(weight, F.col(weight) * factor).drop("_ratio", "_tie", "_f")
+
+
+def rake_within(cells: DataFrame, targets: dict[str, DataFrame], aimed: float, *, rounds: int = 12) -> DataFrame:
+    """cells with raked, as rake() gives, but no cell gets more of the aimed tokens than it has.
+
+    Full cells stay full and the others are raked to what is left of the targets. A value with fewer tokens than its
+    target gets all it has, and the other targets of its dimension grow in proportion, so the total is kept.
+    """
+    now = cells.withColumn("most", F.col("tokens") / F.lit(aimed)).withColumn("raked", F.col("tokens").cast("double"))
+    for d in DIMENSIONS:
+        has = now.groupBy(d).agg(F.sum("most").alias("most")).join(targets[d].select(F.col("value").alias(d), F.col("share").cast("double").alias("share")), d)
+        fits = filled(has.withColumn("_all", F.lit(1)), ["_all"], "share", "most", F.lit(1.0))
+        now = now.join(fits.select(d, F.least("share", "most").alias(f"want_{d}")), d)
+    now = materialize(now, "rake")
+    for _ in range(rounds):
+        step = now
+        for d in DIMENSIONS:
+            step = filled(step, [d], "raked", "most", F.col(f"want_{d}"))
+        step = materialize(step, "rake")
+        remove_table(now)
+        now = step
+    return now.withColumn("raked", F.least("raked", "most")).drop("most", *[f"want_{d}" for d in DIMENSIONS])
+
+
+def unmet(raked: DataFrame, targets: dict[str, DataFrame], tolerance: float = 0.005) -> DataFrame:
+    """(dimension, value, share, got) of targets that the raked shares miss by more than this part of them."""
+    parts = []
+    for d in DIMENSIONS:
+        got = raked.groupBy(F.col(d).alias("value")).agg(F.sum("raked").alias("got"))
+        both = targets[d].select("value", "share").join(got, "value", "left").select(F.lit(d).alias("dimension"), "value", "share", F.coalesce("got", F.lit(0.0)).alias("got"))
+        parts.append(both.where(F.abs(F.col("got") - F.col("share")) > tolerance * F.col("share")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def uniform(seed: str, *parts: Column) -> Column:
     """A number from 0 to 1 (excluded), from 32 bits of an MD5 sum."""
     digest = F.md5(F.concat_ws(":", F.lit(seed), *parts).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def mix(docs: DataFrame, *, topic: Column | None = None, tokens: Column | None = None, targets: dict[str, DataFrame] | None = None, power: float = 0.7, budget: float = 0.5, rounds: int = 12, tolerance: float = 0.0, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, *, topic: Column | None = None, tokens: Column | None = None, targets: dict[str, DataFrame] | None = None, power: float = 0.7, budget: float = 0.5, rounds: int = 12, tolerance: float = 0.0, seed: str = "mix", bounded: bool = True) -> DataFrame:
     """Every document with mix_topic, mix_tokens, mix_probability and mix_selected; columns of these names are replaced.
 
     docs needs doc_id, text, source and lang. topic and tokens default to form() and estimated_tokens(); targets, tables
     of (value, share) for source, lang and topic, default to present shares to the given power. budget is the share of
-    all tokens that is aimed at. Probabilities are cut at 1, so totals meet the targets in expectation where no cell
-    has fewer tokens than its share of the budget. Null sources, languages and topics form a value of their own, "".
+    all tokens that is aimed at. Cells' tokens bound the raking, so the budget is met in expectation and targets are where
+    values have the tokens; a warning names those that aren't. If not bounded, probabilities are cut at 1 afterwards, and
+    what is cut is lost. Null sources, languages and topics form a value of their own, "".
     The draw depends on seed and doc_id (for null ids on the text) only: repeated rows share their fate, and order and
     partitions don't matter. Empty tables give no rows.
     """
@@ -87,8 +138,14 @@ def mix(docs: DataFrame, *, topic: Column | None = None, tokens: Column | None =
     cells = materialize(cells, "cells")
     wanted = {d: (targets or {}).get(d, None) for d in DIMENSIONS}
     wanted = {d: t if t is not None else flattened_targets(cells, d, power) for d, t in wanted.items()}
-    raked = rake(cells, wanted, rounds=rounds, tolerance=tolerance)
     total, n_cells = cells.agg(F.sum("tokens"), F.count("*")).first()
+    if bounded and (total or 0) * budget > 0:
+        raked = rake_within(cells, wanted, float(total * budget), rounds=rounds)
+        missed = unmet(raked, wanted).orderBy(F.desc(F.abs(F.col("got") - F.col("share")))).limit(21).collect()
+        if missed:
+            logging.getLogger(__name__).warning("targets not met: %s%s", ", ".join(f"{r.dimension} {r.value!r} {r.got:.4f} for {r.share:.4f}" for r in missed[:20]), ", and more" if len(missed) > 20 else "")
+    else:
+        raked = rake(cells, wanted, rounds=rounds, tolerance=tolerance)
     p = raked.select(
         F.col("source").alias("mix_source"), F.col("lang").alias("mix_lang"), F.col("topic").alias("mix_topic"),
         F.least(F.lit(1.0), F.lit(float((total or 0) * budget)) * F.col("raked") / F.col("tokens")).alias("mix_probability"),

@@ -109,7 +109,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weft.llm.mixing import mix
 
-    found = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), **MIX)
+    # Not bounded, as the SQL cuts probabilities after raking.
+    found = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), **MIX, bounded=False)
     return found.select("doc_id", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"), F.round("mix_probability", 6).alias("probability"), F.col("mix_selected").alias("selected"))
 
 
