@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from weft.operators import assemble, graph
+import random
+
+from weft.operators import assemble, dedup, graph
 from weft.plans import catalog
 
 
@@ -48,3 +50,19 @@ def test_cycle_and_hierarchies_deeper_than_64(spark, monkeypatch):
     assert values(graph.descendants(chain, spark.createDataFrame([(0,)], "node int")), "node") == [(k,) for k in range(1, n + 1)]
     kinds = spark.createDataFrame([(0, "top")], "node int, kind string")
     assert values(graph.nearest_of_type(chain, kinds, "top"), "node", "ancestor") == [(k, 0) for k in range(1, n + 1)]
+
+
+def test_short_texts_in_long_ones(spark):
+    """Every pair that brute force finds, with sets of any two sizes."""
+    rng = random.Random(3)
+    texts = {"x y", "p q r s x y", *(f"p {c}" for c in "qrs"), "q s", "r q"}
+    texts |= {" ".join(rng.sample("abcdefghijklmn", rng.randint(1, 12))) for _ in range(60)}
+    want = set()
+    for a in texts:
+        for b in texts:
+            s, t = set(a.split()), set(b.split())
+            n = len(s & t)
+            if a < b and (n >= 2 and n >= 0.75 * min(len(s), len(t)) or n / len(s | t) >= 0.55):
+                want.add((a, b))
+    got = dedup.blocked_pairs(spark.createDataFrame([(1, t) for t in texts], "scope int, text string"), "scope", "text", stop_share=1.0)
+    assert set(values(got.where("rules <> 'trigram_jaccard'"), "text_a", "text_b")) == want

@@ -40,20 +40,25 @@ def blocked_pairs(df: DataFrame, scope: str, text: str, *, threshold: float = 0.
     """Pairs of texts in one scope for which any rule fires: scope, text_a, text_b, rules.
 
     Pairs come from an inverted index on (scope, token) and (scope, trigram), so texts that share nothing never meet.
-    Each set is cut to the prefix that a partner must share an element of (rarest first), and pairs are verified on
-    the whole sets.
+    Of each set only the prefix that a partner must share an element of is looked up (rarest first): for a share of the
+    union, and for one of the smaller set. The smaller set gives no bound for the larger one but the two shared tokens,
+    so all tokens but one are in the index of tokens. Pairs are verified on the whole sets.
     """
     texts = df.select(F.col(scope).alias("scope"), F.col(text).alias("text")).distinct()
     stop = frequent_tokens(texts, words(F.col("text")), stop_share).select("token").agg(F.collect_set("token").alias("stop"))
     base = texts.join(F.broadcast(stop)).select("scope", "text", F.array_except(F.array_distinct(words(F.col("text"))), "stop").alias("tokens"), grams(F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " "))).alias("grams"))
     found = None
-    for column, least in (("tokens", min(threshold, 0.375)), ("grams", trigram)):
+    # Fewest shared elements of a set of that size: by its share of the union, and by containment as the smaller one.
+    need = lambda share: F.ceil(F.lit(share) * F.col("size") - 1e-9)
+    contained = F.greatest(need(0.75), F.lit(2))
+    for column, probe, index in (("tokens", F.least(need(threshold), contained), F.least(need(threshold), F.lit(2))), ("grams", need(trigram), need(trigram))):
         parts = base.select("scope", "text", F.explode(column).alias("t"))
         counted = parts.join(parts.groupBy("scope", "t").agg(F.count("*").alias("df")).where("df > 1"), ["scope", "t"])
         ranked = counted.withColumn("place", F.row_number().over(Window.partitionBy("scope", "text").orderBy("df", "t")))
         sizes = base.select("scope", "text", F.size(column).alias("size"))
-        kept = ranked.join(sizes, ["scope", "text"]).where(F.col("place") <= F.col("size") - F.ceil(F.lit(least) * F.col("size")) + 1).select("scope", "t", "text")
-        pairs = kept.alias("a").join(kept.alias("b"), ["scope", "t"]).where("a.text < b.text").select("scope", F.col("a.text").alias("text_a"), F.col("b.text").alias("text_b")).distinct()
+        sized = ranked.join(sizes, ["scope", "text"])
+        looked, kept = (sized.where(F.col("place") <= F.col("size") - least + 1).select("scope", "t", "text") for least in (probe, index))
+        pairs = looked.alias("a").join(kept.alias("b"), ["scope", "t"]).where("a.text <> b.text").select("scope", F.least("a.text", "b.text").alias("text_a"), F.greatest("a.text", "b.text").alias("text_b")).distinct()
         found = pairs if found is None else found.union(pairs).distinct()
     left = base.select("scope", F.col("text").alias("text_a"), F.col("tokens").alias("ta"), F.col("grams").alias("ga"))
     right = base.select("scope", F.col("text").alias("text_b"), F.col("tokens").alias("tb"), F.col("grams").alias("gb"))
