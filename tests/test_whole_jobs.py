@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from weft.operators import assemble, dedup, graph
 from weft.plans import catalog
 
@@ -66,3 +68,10 @@ def test_short_texts_in_long_ones(spark):
                 want.add((a, b))
     got = dedup.blocked_pairs(spark.createDataFrame([(1, t) for t in texts], "scope int, text string"), "scope", "text", stop_share=1.0)
     assert set(values(got.where("rules <> 'trigram_jaccard'"), "text_a", "text_b")) == want
+
+
+def test_nominated_pairs_has_no_budget(spark, tmp_path):
+    n = 500
+    suppliers = spark.range(n).select(F.col("id").alias("s_suppkey"), F.lit(1).alias("s_nationkey"), F.lit(10.0).alias("s_acctbal"))
+    got = catalog.QUERIES["nominated_pairs"](spark, saved(spark, tmp_path, supplier=suppliers))
+    assert values(got.groupBy("signal").count(), "signal", "count") == [("hierarchy", n * (n - 1) // 2), ("rank", n * (n - 1) // 2)]

@@ -45,8 +45,8 @@ def admissible(pairs: DataFrame, policy: DataFrame) -> DataFrame:
     return joined.withColumn("decisions", decisions).drop("_forth", "_back", "_relates")
 
 
-def bucket_pairs(items: DataFrame, item: str, buckets: dict[str, Column], *, most: int) -> DataFrame:
-    """Pairs that share a bucket of any signal, at most ``most`` of each signal: item_a, item_b, signal.
+def bucket_pairs(items: DataFrame, item: str, buckets: dict[str, Column], *, most: int | None) -> DataFrame:
+    """Pairs that share a bucket of any signal, at most ``most`` of each signal or all: item_a, item_b, signal.
 
     Within a bucket pairs are taken by rotation distance and then index; buckets take turns. A bucket of n items yields
     its pairs up to the budget only: distance d of item i pairs it with item i + d, for as many d as the budget needs.
@@ -56,14 +56,15 @@ def bucket_pairs(items: DataFrame, item: str, buckets: dict[str, Column], *, mos
         rows = items.select(F.col(item).alias("item"), F.explode(keys).alias("bucket")).distinct()
         w = Window.partitionBy("bucket")
         rows = rows.withColumn("i", F.row_number().over(w.orderBy("item")) - 1).withColumn("n", F.count("*").over(w)).where("n > 1")
-        reach = F.least(F.floor(F.col("n") / 2), F.ceil(F.lit(most) / F.col("n")) + 1)
+        half = F.floor(F.col("n") / 2)
+        reach = half if most is None else F.least(half, F.ceil(F.lit(most) / F.col("n")) + 1)
         turned = rows.withColumn("d", F.explode(F.sequence(F.lit(1).cast("long"), reach)))
         pair = turned.withColumn("j", (F.col("i") + F.col("d")) % F.col("n")).where((F.col("d") * 2 != F.col("n")) | (F.col("i") < F.col("j")))
         other = rows.select("bucket", F.col("i").alias("j"), F.col("item").alias("other"))
         pair = pair.join(other, ["bucket", "j"])
         pair = pair.withColumn("turn", F.row_number().over(w.orderBy("d", "i")))
         ordered = pair.select(F.least("item", "other").alias("item_a"), F.greatest("item", "other").alias("item_b"), "turn", "bucket").groupBy("item_a", "item_b").agg(F.min(F.struct("turn", "bucket")).alias("o"))
-        part = ordered.orderBy("o", "item_a", "item_b").limit(most).select("item_a", "item_b", F.lit(signal).alias("signal"))
+        part = (ordered if most is None else ordered.orderBy("o", "item_a", "item_b").limit(most)).select("item_a", "item_b", F.lit(signal).alias("signal"))
         out = part if out is None else out.unionByName(part)
     return out
 

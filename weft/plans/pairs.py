@@ -71,7 +71,7 @@ def pair_budget_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nominated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers that share a nation or a balance bucket (keys v - 1 and v, so neighbours meet)."""
     s = table(spark, sf_dir, "supplier").withColumn("v", F.floor(F.col("s_acctbal") / 500))
-    return pairs.bucket_pairs(s, "s_suppkey", {"hierarchy": F.array(F.col("s_nationkey").cast("long")), "rank": F.array(F.col("v") - 1, F.col("v"))}, most=100_000)
+    return pairs.bucket_pairs(s, "s_suppkey", {"hierarchy": F.array(F.col("s_nationkey").cast("long")), "rank": F.array(F.col("v") - 1, F.col("v"))}, most=None)
 
 
 def cyclic_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
