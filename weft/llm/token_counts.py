@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.content import unseen, with_digest
-from weft.llm.tokens import encoder, tokenizer_digest
+from weft.llm.tokens import encoder, slices, tokenizer_digest
 from weft.sources.scratch import exists
 
 CACHE = "digest binary, version string, n_tokens long"
@@ -34,9 +35,8 @@ def token_counts(docs: DataFrame, cache: str, *, tokenizer: str = "byte_bpe_50k.
 
         code = encoder(tokenizer, False)
         for batch in batches:
-            n = []
-            for a in range(0, batch.num_rows, 256):
-                n += code.encode(batch.column(1).slice(a, 256).to_pylist())
+            n = [code.arrays(texts)[1] for texts in slices(batch.column(1))]
+            n = np.concatenate(n) if n else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], ["digest", "version", "n_tokens"])
 
     misses.mapInArrow(count, CACHE).write.mode("append").parquet(cache)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.llm.tokens import encoder
+from weft.llm.tokens import encoder, slices
 from weft.sources.scratch import materialize, new_path
 
 MAGIC = b"WDAC0001"
@@ -139,33 +139,40 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer: str = "byte_bpe_50k
 
         store, at = _store(folder)
         store.create_dir(at, recursive=True)
-        part, tag = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
-        end, code = struct.pack("<I", end_id), encoder(tokenizer, True)
-        doc_ids, data, n_tokens, k = [], [], 0, 0
-
-        def flush():
-            nonlocal doc_ids, data, n_tokens, k
-            sizes = np.array([len(x) // 4 for x in data], np.int64)
-            body = pack(doc_ids, np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(data), "<u4"))
-            name = f"part-{part:06d}-{k:05d}-{tag}.dac"
+        part_no, tag, code, k, held = TaskContext.get().partitionId(), uuid.uuid4().hex[:12], encoder(tokenizer, True), 0, []
+
+        def flush(done):
+            """One file of (ids of documents, sizes, token ids) parts."""
+            nonlocal k
+            doc_ids = [d for part in done for d in part[0].to_pylist()]
+            sizes, ids = (np.concatenate([part[j] for part in done]) for j in (1, 2))
+            body = pack(doc_ids, np.concatenate([[0], np.cumsum(sizes)]), ids)
+            name = f"part-{part_no:06d}-{k:05d}-{tag}.dac"
             with store.open_output_stream(f"{at}/{name}.writing") as f:
                 f.write(body)
             store.move(f"{at}/{name}.writing", f"{at}/{name}")
-            row = {"part": part, "file": k, "n_docs": len(doc_ids), "n_tokens": n_tokens, "path": name}
-            doc_ids, data, n_tokens, k = [], [], 0, k + 1
+            row = {"part": part_no, "file": k, "n_docs": len(doc_ids), "n_tokens": len(ids), "path": name}
+            k += 1
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("file", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("path", pa.string())]))
 
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                some = batch.slice(a, 256)
-                for doc, ids in zip(some.column(0).to_pylist(), code.encode(some.column(1).to_pylist()), strict=True):
-                    doc_ids.append(doc)
-                    data.append(ids + end)
-                    n_tokens += len(data[-1]) // 4
-                    if n_tokens >= file_tokens:
-                        yield flush()
-        if doc_ids:
-            yield flush()
+            place = 0
+            for texts in slices(batch.column(1)):
+                ids, sizes = code.arrays(texts)
+                docs, place = batch.column(0).slice(place, len(texts)), place + len(texts)
+                ids, sizes = np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
+                while len(sizes):
+                    total = np.cumsum(sizes)
+                    n = int(np.searchsorted(total, file_tokens - sum(len(part[2]) for part in held))) + 1
+                    m = int(total[min(n, len(sizes)) - 1])
+                    held.append((docs[:n], sizes[:n], ids[:m]))
+                    full = n <= len(sizes)
+                    docs, sizes, ids = docs[n:], sizes[n:], ids[m:]
+                    if full:
+                        yield flush(held)
+                        held = []
+        if held:
+            yield flush(held)
 
     return materialize(ordered.select("doc_id", "text").mapInArrow(encode, MANIFEST), "token-manifest")
 

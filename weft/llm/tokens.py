@@ -1,9 +1,11 @@
-"""Exact token ids and counts from the public tokenizers' own libraries, with repeated chunks remembered.
+"""Exact token ids and counts from the public tokenizers' own libraries, with repeated pieces remembered.
 
 A byte-level BPE splits a text into pieces before it merges bytes, and no piece crosses the place before a space
-that stands alone. So the ids of a text are the ids of its space-separated chunks, one after another; each distinct
-chunk is given to the library once and remembered in a bounded cache. Texts with longer runs of white space, control
-characters or added tokens, and tokenizers of any other kind, go to the library whole.
+that stands alone. So the ids of a text are the ids of its space-separated chunks, one after another, and those of a
+chunk of letters and trailing marks are the ids of these parts. A slice of texts is cut up in Arrow, its distinct pieces
+are given to the library's model where a bounded cache doesn't have them, and the texts' ids are gathered in numpy.
+Texts with longer runs of white space, control characters or added tokens, and tokenizers of any other kind, go to the
+library whole.
 """
 
 from __future__ import annotations
@@ -11,19 +13,23 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
-from itertools import chain
+from collections.abc import Iterator
+
+import numpy as np
 
 #: Characters the splitting pattern and Python may class differently, and spaces inside or at the end of longer runs.
 UNSAFE = r"\s \s|\s \Z|[\x1c-\x1f\x85]"
-#: White space without which, and without a doubled space or one after a line end, UNSAFE can't match.
-ODD = re.compile(r"[^\S \n]")
+#: Without this, in RE2, UNSAFE can't match: doubled spaces, ones after a line end, and rarer white space.
+ODD = r"  |\n |[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: A Latin word with trailing marks, perhaps one line end and one more such word: their pieces never join.
-PARTS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?$%&*#|;:]*)(?:(\n)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?$%&*#|;:]*))?")
-#: Chunks remembered by each worker; the cache starts anew beyond it. About 150 bytes each.
-CACHE_ENTRIES = 600_000
-#: Longer chunks are encoded each time, so that the cache has a size in bytes too.
-CACHE_CHARS = 64
+_WORD, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,!?$%&*#|;:]*"
+PARTS = rf"\A(?P<a>{_WORD})(?P<rest>{_MARKS}(?:\n{_WORD}{_MARKS})?)\z"
+REST = rf"\A(?P<b>{_MARKS})(?:(?P<c>\n)(?P<d>{_WORD})(?P<e>{_MARKS}))?\z"
+#: Pieces remembered by each worker and their characters; the cache starts anew beyond either. About 150 bytes each.
+CACHE_ENTRIES = 400_000
+CACHE_CHARS = 16_000_000
+#: Bytes of texts that are cut up at once; one longer text is a slice of its own.
+SLICE_BYTES = 4 << 20
 
 _made: dict = {}
 
@@ -50,14 +56,29 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of stretches from each start, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def slices(texts, most: int = SLICE_BYTES) -> Iterator:
+    """Parts of a text array of about so many bytes."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(np.asarray(pc.binary_length(texts).fill_null(0), np.int64) + 8)
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, "right")))
+        yield texts.slice(a, b - a)
+        a = b
+
+
 class ChunkEncoder:
-    """Values of texts for one vocabulary: ids as little-endian unsigned 32-bit integers, or their number."""
+    """Ids or numbers of ids of texts for one vocabulary."""
 
     def __init__(self, name: str, ids: bool):
         self.ids = ids
-        self.zero = b"" if ids else 0
-        self.chunks: dict = {}
-        self.words: dict = {}
         self.unsafe, self.added = None, []
         path = tokenizer_path(name)
         if path.endswith(".model"):
@@ -80,70 +101,146 @@ class ChunkEncoder:
             if spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
                 self.added = [t["content"] for t in spec.get("added_tokens", [])]
                 self.unsafe = re.compile("|".join([UNSAFE, *map(re.escape, self.added)]))
+                self.odd = "|".join([ODD, *(re.sub(r"([^\w\s])", r"\\\1", t) for t in self.added if t)])
                 self.merge = model.model.tokenize
                 self.bytes = {b: c for b, c in zip(range(256), byte_letters(), strict=True)}
+                self.forget()
+
+    def forget(self) -> None:
+        """Empty the cache but for the empty piece."""
+        self.place: dict[str, int] = {"": 0}
+        self.flat, self.starts, self.chars = np.zeros(0, np.uint32), np.zeros(2, np.int64), 0
+
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, how many each has), by the library."""
+        found = self.raw(texts)
+        sizes = np.array([len(x) for x in found], np.int64)
+        return np.concatenate([np.array(x, np.uint32) for x in found]) if found else np.zeros(0, np.uint32), sizes
+
+    def merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As whole(), for what the pattern leaves as one piece each: the library's model merges its bytes."""
+        ids, sizes = [], []
+        for k in range(0, len(pieces), 1000):
+            letters = [p.replace(" ", "Ġ") if p.isascii() and p != "\n" else p.encode().decode("latin-1").translate(self.bytes) for p in pieces[k : k + 1000]]
+            found = [self.merge(x) for x in letters]
+            sizes += map(len, found)
+            ids += [t.id for f in found for t in f]
+        return np.array(ids, np.uint32), np.array(sizes, np.int64)
+
+    def codes(self, pieces: list[str], way) -> np.ndarray:
+        """Places of distinct pieces in the cache; new ones are learnt by way()."""
+        if len(self.place) + len(pieces) > CACHE_ENTRIES or self.chars > CACHE_CHARS:
+            self.forget()
+        new = [p for p in pieces if p not in self.place]
+        if new:
+            ids, sizes = way(new)
+            self.place.update(zip(new, range(len(self.starts) - 1, len(self.starts) - 1 + len(new)), strict=True))
+            self.chars += sum(map(len, new))
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            self.flat = np.concatenate([self.flat, ids])
+        return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+
+    def taken(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of cached pieces; without ids where only numbers are wanted."""
+        sizes = self.starts[codes + 1] - self.starts[codes]
+        return self.flat[gathered(self.starts[codes], sizes)] if self.ids else np.zeros(0, np.uint32), sizes
+
+    def pieces(self, columns: list) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of rows that are made of one piece from each column."""
+        import pyarrow as pa
+
+        all_of = pa.concat_arrays(columns).dictionary_encode()
+        code = self.codes(all_of.dictionary.to_numpy(zero_copy_only=False).tolist(), self.merged)[np.asarray(all_of.indices)]
+        ids, sizes = self.taken(code.reshape(len(columns), -1).T.ravel())
+        return ids, sizes.reshape(-1, len(columns)).sum(1)
+
+    def chunks(self, unique) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of distinct chunks, each with its leading space."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        parts = pc.extract_regex(unique, PARTS)
+        fine = np.asarray(parts.is_valid())
+        sizes = np.zeros((len(unique), 2), np.int64)
+        found = []
+        if fine.any():
+            word, rest = parts.filter(pa.array(fine)).flatten()
+            ids, sizes[fine, 0] = self.pieces([pc.binary_join_element_wise(" ", word, "")])
+            found.append((ids, fine, 0))
+            rest = rest.dictionary_encode()
+            ids, size = self.pieces(pc.extract_regex(rest.dictionary, REST).flatten())
+            code = np.asarray(rest.indices)
+            sizes[fine, 1] = size[code]
+            if self.ids:
+                found.append((ids[gathered((np.cumsum(size) - size)[code], size[code])], fine, 1))
+        if not fine.all():
+            plain = [" " + c for c in unique.filter(pa.array(~fine)).to_pylist()]
+            ids, sizes[~fine, 0] = self.taken(self.codes(plain, self.whole))
+            found.append((ids, ~fine, 0))
+        return self.placed(found, sizes), sizes.sum(1)
+
+    def placed(self, found: list, sizes: np.ndarray) -> np.ndarray:
+        """Ids of parts of rows, (ids, which rows, which part), in the rows' order."""
+        if not self.ids:
+            return np.zeros(0, np.uint32)
+        flat, starts = np.zeros(int(sizes.sum()), np.uint32), (np.cumsum(sizes) - sizes.ravel()).reshape(sizes.shape)
+        for ids, rows, part in found:
+            flat[gathered(starts[rows, part], sizes[rows, part])] = ids
+        return flat
+
+    def split(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of texts whose chunks have ids of their own."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = pc.split_pattern(texts, " ")
+        flat, heads = lists.flatten(), np.asarray(lists.offsets)[:-1] - lists.offsets[0].as_py()
+        first = np.zeros(len(flat), bool)
+        first[heads] = True
+        rest = flat.filter(pa.array(~first)).dictionary_encode()
+        rest_ids, rest_sizes = self.chunks(rest.dictionary)
+        head_ids, head_sizes = self.whole(flat.filter(pa.array(first)).to_pylist())
+        code = np.empty(len(flat), np.int64)
+        code[~first] = np.asarray(rest.indices)
+        code[heads] = len(rest_sizes) + np.arange(len(heads))
+        size = np.concatenate([rest_sizes, head_sizes])
+        each = size[code]
+        totals = np.add.reduceat(each, heads)
+        if not self.ids:
+            return np.zeros(0, np.uint32), totals
+        start = np.cumsum(size) - size
+        return np.concatenate([rest_ids, head_ids])[gathered(start[code], each)], totals
+
+    def arrays(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, how many each has) of an Arrow array without nulls; no ids where only numbers are wanted."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-    def value(self, ids: list[int]):
-        return array("I", ids).tobytes() if self.ids else len(ids)
-
-    def whole(self, texts: list[str]) -> list:
-        return [self.value(x) for x in self.raw(texts)]
-
-    def piece(self, text: str):
-        """The value of what the pattern leaves as one piece: the library's model merges its bytes."""
-        found = self.merge(text.encode().decode("latin-1").translate(self.bytes))
-        got = self.words[text] = array("I", [t.id for t in found]).tobytes() if self.ids else len(found)
-        return got
-
-    def learn(self, new: set[str]) -> None:
-        """Put the values of new chunks, each with its leading space, into the cache."""
-        words, chunks, piece, parts, plain = self.words, self.chunks, self.piece, PARTS.fullmatch, []
-        for c in new:
-            if len(c) <= CACHE_CHARS and (m := parts(c)):
-                a, b, line, d, e = m.groups()
-                a = " " + a
-                got = words[a] if a in words else piece(a)
-                for x in (b, line, d, e) if line else (b,):
-                    if x:
-                        got = got + (words[x] if x in words else piece(x))
-                chunks[c] = got
-            else:
-                plain.append(c)
-        for k in range(0, len(plain), 4096):
-            part = plain[k : k + 4096]
-            chunks.update(zip(part, self.whole([" " + c for c in part]), strict=True))
-
-    def splits(self, text: str) -> bool:
-        """Whether the chunks between spaces have ids of their own."""
-        if "  " in text or "\n " in text or ODD.search(text) or any(x in text for x in self.added):
-            return not self.unsafe.search(text)
-        return True
+        if self.unsafe is None:
+            return self.whole(texts.to_pylist())
+        alone = np.asarray(pc.match_substring_regex(texts, self.odd))
+        odd = np.flatnonzero(alone)
+        if len(odd):
+            alone = alone.copy()
+            alone[odd] = [bool(self.unsafe.search(t)) for t in texts.take(pa.array(odd)).to_pylist()]
+        if not alone.any():
+            return self.split(texts)
+        sizes, found = np.zeros((len(texts), 1), np.int64), []
+        for which, way in ((alone, lambda t: self.whole(t.to_pylist())), (~alone, self.split)):
+            if which.any():
+                ids, sizes[which, 0] = way(texts.filter(pa.array(which)))
+                found.append((ids, which, 0))
+        return self.placed(found, sizes), sizes[:, 0]
 
     def encode(self, texts: list[str]) -> list:
-        """One value for each text, as the library gives it for the whole text."""
-        if self.unsafe is None:
-            return self.whole(texts)
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        out, chunks = [], self.chunks
-        for start in range(0, len(texts), 64):
-            part = texts[start : start + 64]
-            split = [t.split(" ") if self.splits(t) else None for t in part]
-            seen = set(chain.from_iterable(s[1:] for s in split if s))
-            if len(chunks) + len(seen) > CACHE_ENTRIES:
-                chunks.clear()
-            self.learn({c for c in seen if c not in chunks})
-            firsts = iter(self.whole([s[0] for s in split if s]))
-            rest = iter(self.whole([t for t, s in zip(part, split, strict=True) if not s]))
-            for s in split:
-                if not s:
-                    out.append(next(rest))
-                elif self.ids:
-                    out.append(next(firsts) + b"".join(map(chunks.__getitem__, s[1:])))
-                else:
-                    out.append(next(firsts) + sum(map(chunks.__getitem__, s[1:])))
-            for c in [c for c in seen if len(c) > CACHE_CHARS]:
-                del chunks[c]
+        """One value for each text, as the library gives it for the whole text: ids as little-endian unsigned 32-bit
+        integers, or their number."""
+        import pyarrow as pa
+
+        out = []
+        for part in slices(pa.array(texts, pa.string())):
+            ids, sizes = self.arrays(part)
+            out += [x.astype("<u4").tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if self.ids else sizes.tolist()
         return out
 
 
