@@ -24,9 +24,12 @@ from weft.sources.scratch import materialize
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
 CHUNK = 1 << 14
-#: Tokens of a block in a cell; a cell holds two blocks at most, 16 bytes or so for each token.
-CELL_TOKENS = 2_000_000
-CELL_SETS = 2_048
+#: Tokens and sets of a block; a cell holds two blocks at most. Each token takes some 60 bytes while elements are matched.
+CELL_TOKENS = 400_000
+CELL_SETS = 1_024
+#: Rows of a cell that are compared with all others at once, and columns of a 0/1 matrix.
+STRIPE = 128
+COLUMNS = 1_024
 #: Rows of (key, cluster), ids or hashes that are broadcast, under 50 bytes each; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Lists of one prefix token up to this length give all their pairs; the sets of longer ones are solved as one cluster.
@@ -164,79 +167,111 @@ class _Forest:
             self.pairs.append((i, j))
 
 
-def _shared(rows: list[np.ndarray]) -> np.ndarray:
-    """Number of common elements of each two rows, by products of 0/1 matrices over the repeated elements."""
-    n = len(rows)
-    owner = np.repeat(np.arange(n), [len(r) for r in rows])
-    _, place, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    column, repeated = np.cumsum(times > 1) - 1, times[place] > 1
-    owner, place = owner[repeated], column[place[repeated]]
-    order = np.argsort(place, kind="stable")
-    owner, place = owner[order], place[order]
-    total, step = np.zeros((n, n), np.float32), 2048
-    for a in range(0, int((times > 1).sum()), step):
-        lo, hi = np.searchsorted(place, [a, a + step])
-        x = np.zeros((n, step), np.float32)
-        x[owner[lo:hi], place[lo:hi] - a] = 1
-        total += x @ x.T
-    return total
-
-
-def _fine(size: np.ndarray, prefixes: list[list[np.ndarray]], ranks: list[list[np.ndarray]], percent: int) -> np.ndarray:
-    """Pairs that no order's prefixes rule out.
+class _Overlaps:
+    """Numbers of common elements between some rows and all, by products of 0/1 matrices over the repeated elements."""
+
+    def __init__(self, rows: list[np.ndarray]):
+        self.n = len(rows)
+        sizes = np.array([len(r) for r in rows])
+        owner = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        _, place, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+        column, repeated = (np.cumsum(times > 1) - 1).astype(np.int32), times[place] > 1
+        owner, column = owner[repeated], column[place[repeated]]
+        self.ends = np.searchsorted(owner, np.arange(self.n + 1))
+        self.column = column
+        order = np.argsort(column, kind="stable")
+        self.by_column, self.owner = column[order], owner[order]
+        self.columns = int((times > 1).sum())
+
+    def with_all(self, rows: np.ndarray) -> np.ndarray:
+        """(rows x all) counts."""
+        total = np.zeros((len(rows), self.n), np.float32)
+        own = [self.column[self.ends[i] : self.ends[i + 1]] for i in rows]
+        wanted = np.unique(np.concatenate(own)) if own else np.zeros(0, np.int32)
+        at = np.full(self.columns, -1, np.int32)
+        at[wanted] = np.arange(len(wanted), dtype=np.int32)
+        for a in range(0, len(wanted), COLUMNS):
+            lo, hi = np.searchsorted(self.by_column, [wanted[a], wanted[min(a + COLUMNS, len(wanted)) - 1] + 1])
+            place = at[self.by_column[lo:hi]]
+            fine = place >= 0
+            x = np.zeros((self.n, min(COLUMNS, len(wanted) - a)), np.float32)
+            x[self.owner[lo:hi][fine], place[fine] - a] = 1
+            total += x[rows] @ x.T
+        return total
+
+
+class _Filters:
+    """Which pairs no order's prefixes rule out.
 
     Two prefixes must share a token. And a token of one that comes before the other's last isn't in the other set unless
     it is in its prefix; what is missing for certain must leave enough to overlap.
     """
-    need = -(-percent * (size[:, None] + size[None]) // (100 + percent))
-    fine = np.minimum(size[:, None], size[None]) >= need
-    for p, r in zip(prefixes, ranks, strict=True):
-        common = _shared(p)
-        last = np.array([x[-1] for x in r], np.uint64)
-        before = np.stack([np.searchsorted(x, last) for x in r])
-        missing = before - common
-        fine &= (common > 0) & (size[:, None] - missing >= need) & ((size[:, None] - missing).T >= need)
-    return fine
 
-
-def _pairs_of(fine: np.ndarray, blocks: np.ndarray | None):
-    if blocks is not None:
-        fine = fine & (blocks[:, None] != blocks[None])
-    return np.nonzero(np.tril(fine, -1))
+    def __init__(self, cell: list[dict], orders: int, percent: int):
+        self.size, self.percent = np.array([c["n"] for c in cell], np.int64), percent
+        self.ranks = [[c["r"][o] for c in cell] for o in range(orders)]
+        self.last = [np.array([x[-1] for x in r], np.uint64) for r in self.ranks]
+        self.common = [_Overlaps([c["p"][o] for c in cell]) for o in range(orders)]
+
+    def with_all(self, rows: np.ndarray) -> np.ndarray:
+        """(rows x all) whether a pair passes."""
+        size, own = self.size, self.size[rows][:, None]
+        need = -(-self.percent * (own + size[None]) // (100 + self.percent))
+        fine = np.minimum(own, size[None]) >= need
+        for r, last, overlaps in zip(self.ranks, self.last, self.common, strict=True):
+            common = overlaps.with_all(rows).astype(np.int64)
+            fine &= common > 0
+            fine &= own - np.stack([np.searchsorted(r[i], last) for i in rows]) + common >= need
+            ends = last[rows]
+            fine &= size[None] - np.stack([np.searchsorted(x, ends) for x in r], 1) + common >= need
+        return fine
+
+
+def _forest(n: int, blocks, fine, linked=None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that pass fine(rows) and, if given, linked(rows, passing), a stripe of rows at a time.
+
+    Once a stripe has joined most rows, only those outside the largest tree are compared with all others: of two rows in
+    different trees one at least is outside, so no link is missed.
+    """
+    forest, done = _Forest(n), np.zeros(n, bool)
+    while True:
+        root = np.array([forest.root(i) for i in range(n)])
+        largest = np.bincount(root, minlength=n).argmax()
+        rows = np.flatnonzero(~done & ((root != largest) | (not done.any())))[:STRIPE]
+        if not len(rows):
+            return forest.pairs
+        done[rows] = True
+        passing = fine(rows) & (root[rows][:, None] != root[None])
+        if blocks is not None:
+            passing &= blocks[rows][:, None] != blocks[None]
+        if linked is not None and passing.any():
+            passing = linked(rows, passing)
+        for i, j in zip(*np.nonzero(passing), strict=True):
+            forest.join(int(rows[i]), int(j))
 
 
 def _candidates(cell: list[dict], blocks, orders: int, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs that pass the prefix filters of all orders."""
-    forest = _Forest(len(cell))
-    size = np.array([c["n"] for c in cell], np.int64)
-    fine = _fine(size, [[c["p"][o] for c in cell] for o in range(orders)], [[c["r"][o] for c in cell] for o in range(orders)], percent)
-    for i, j in zip(*_pairs_of(fine, blocks), strict=True):
-        forest.join(int(i), int(j))
-    return forest.pairs
+    return _forest(len(cell), blocks, _Filters(cell, orders, percent).with_all)
 
 
 def _verified(cell: list[dict], blocks, orders: int, percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the pairs that link; those that pass the filters are verified on whole sets."""
-    forest = _Forest(len(cell))
-    size = np.array([c["n"] for c in cell], np.int64)
-    fine = _fine(size, [[c["p"][o] for c in cell] for o in range(orders)], [[c["r"][o] for c in cell] for o in range(orders)], percent)
-    i, j = _pairs_of(fine, blocks)
-    if len(i) > 4 * len(cell):
-        common = _shared([c["tokens"] for c in cell])[i, j].astype(np.int64)
-        linked = 100 * common >= percent * (size[i] + size[j] - common)
-        for a, b in zip(i[linked].tolist(), j[linked].tolist(), strict=True):
-            forest.join(a, b)
-        return forest.pairs
-    whole: dict[int, set] = {}
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        if forest.root(a) != forest.root(b):
-            for k in (a, b):
-                if k not in whole:
-                    whole[k] = set(cell[k]["tokens"].tolist())
-            common = len(whole[a] & whole[b])
-            if 100 * common >= percent * (size[a] + size[b] - common):
-                forest.join(a, b)
-    return forest.pairs
+    filters, whole = _Filters(cell, orders, percent), []
+
+    def linked(rows: np.ndarray, passing: np.ndarray) -> np.ndarray:
+        i, j = np.nonzero(passing)
+        if len(i) > 4 * len(rows):
+            if not whole:
+                whole.append(_Overlaps([c["tokens"] for c in cell]))
+            common = whole[0].with_all(rows)[i, j].astype(np.int64)
+        else:
+            common = np.array([len(np.intersect1d(cell[rows[a]]["tokens"], cell[b]["tokens"], assume_unique=True)) for a, b in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
+        out = np.zeros_like(passing)
+        out[i, j] = 100 * common >= percent * (filters.size[rows[i]] + filters.size[j] - common)
+        return out
+
+    return _forest(len(cell), blocks, filters.with_all, linked)
 
 
 def _solve(batches, work, counts: np.ndarray, orders: int, percent: int):
@@ -402,6 +437,12 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, percent: int = 90, orders
     are linked with nothing; a null doc_id keeps a row, its component being the smallest id it is linked with, or null.
     Repeated ids keep a row each. Other columns aren't read; empty tables give no rows. orders is 1 or 2.
     """
+    return _components(docs, n, percent, orders).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame:
+    """As jaccard_components(), with the text's hash h and component, a name of the component that no other one has (null:
+    a document with no other one and no copies, or without shingles)."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     first = materialize(rows.mapInArrow(lambda b: _count_tables(b, n, orders), "doc_id long, h long, key binary, node long, n long, chunk int, data binary"), "shingle-counts")
@@ -490,25 +531,32 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, percent: int = 90, orders
     links = dealt.mapInArrow(lambda b: _solve(b, _verified, counts(), orders, percent), "a binary, b binary")
     linked = connected_components(links, name="links")
 
-    # Back to documents: classes of equal sets first, then the classes that links connect.
-    classes = own.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-    joined = classes.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    # Back to documents: classes of equal sets first, then the classes that links connect. What has neither a copy nor a link
+    # is its own component, so only the others are joined back.
+    classes = own.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    joined = classes.join(_small(materialize(linked.withColumnRenamed("node", "key"), "links")), "key", "left").where("copies > 1 or component is not null")
+    joined = materialize(joined.select("key", F.coalesce("component", "key").alias("component"), "least"), "linked-classes")
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = joined.select("key", "component").join(least, "component").select("key", "component_id")
-    found = own.where("n_shingles > 0").join(named, "key").select("doc_id", "n_shingles", "component_id")
-    return found.unionByName(own.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    named = joined.select("key", "component").join(_small(least), "component")
+    found = own.join(_small(materialize(named, "named")), "key", "left")
+    return found.select("doc_id", "h", "n_shingles", "component", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """docs without the documents whose component has a smaller doc_id; every column stays.
+def one_of_each(docs: DataFrame, *, n: int = 3, percent: int = 90, orders: int = 2) -> DataFrame:
+    """docs with one document of each component, that of the smallest doc_id; every column stays.
 
-    Of rows with equal id and text one stays. Rows without an id can't be named by a component and all stay.
+    Rows are told apart by id and text: of rows with equal id and text one stays, and of different texts of one id each
+    is judged by its own links. Rows without an id can't be named by a component and all stay.
     """
-    found = materialize(jaccard_components(docs, **options).select("doc_id", "component_id"), "components")
-    gone = found.where("component_id < doc_id").select("doc_id").distinct()
-    left = docs.join(_small(gone), "doc_id", "left_anti")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.limit(1).count() == 0:
-        return left
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, "doc_id", "left_anti").unionByName(once)
+    found = materialize(_components(docs, n, percent, orders), "components").where("doc_id is not null")
+    # Rows of one component and id differ in their texts' hashes only.
+    least = found.where("component is not null and doc_id = component_id").groupBy("doc_id", "component").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least <> most")
+    later = found.join(_small(least), ["doc_id", "component"]).where("h <> least")
+    gone = found.where("component_id < doc_id").select("doc_id", "h").unionByName(later.select("doc_id", "h")).distinct()
+    name = max([*docs.columns, "h"], key=len) + "_"
+    left = docs.withColumn(name, F.xxhash64("text")).join(_small(gone.select("doc_id", F.col("h").alias(name))), ["doc_id", name], "left_anti")
+    repeated = materialize(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if not repeated.isEmpty():
+        once = left.join(_small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id", name])
+        left = left.join(_small(repeated), "doc_id", "left_anti").unionByName(once)
+    return left.select(*docs.columns)
