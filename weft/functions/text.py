@@ -89,16 +89,20 @@ def overlap(a: Column, b: Column) -> Column:
     return F.struct(F.size(F.array_intersect(a, b)).cast("long").alias("common"), F.size(F.array_union(a, b)).cast("long").alias("total"))
 
 
-def fold_affixes(token: Column, prefixes: list[str], suffixes: list[str], least: int = 3) -> Column:
-    """Without the first prefix and then the first suffix that fit and leave the least length."""
-    for affixes, starts in ((prefixes, True), (suffixes, False)):
-        out = None
-        for a in affixes:
-            fits = (token.startswith(a) if starts else token.endswith(a)) & (F.length(token) - len(a) >= least)
-            rest = F.substring(token, len(a) + 1, 1 << 30) if starts else F.left(token, F.length(token) - len(a))
-            out = F.when(fits, rest) if out is None else out.when(fits, rest)
-        token = token if out is None else out.otherwise(token)
-    return token
+def fold_affixes(token: Column, prefixes: list[str], suffixes: list[str], least: int = 5) -> Column:
+    """Without the first prefix that leaves two letters or more, and then the first suffix, if least letters are there."""
+    out = None
+    for a in prefixes:
+        fits = token.startswith(a) & (F.length(token) > len(a) + 1)
+        rest = F.substring(token, len(a) + 1, 1 << 30)
+        out = F.when(fits, rest) if out is None else out.when(fits, rest)
+    token = token if out is None else out.otherwise(token)
+    out = None
+    for a in suffixes:
+        fits = token.endswith(a) & (F.length(token) >= least)
+        rest = F.left(token, F.length(token) - len(a))
+        out = F.when(fits, rest) if out is None else out.when(fits, rest)
+    return token if out is None else out.otherwise(token)
 
 
 def join_units(units: Column, repair_hyphens: bool = True) -> Column:

@@ -74,14 +74,22 @@ def cell_relations(children: DataFrame, parents: DataFrame, grid: DataFrame) ->
 
 
 def neighbour_headings(items: DataFrame, page: str, order: str, heading: Column, *, most: int = 2) -> DataFrame:
-    """Nearest headings of the same page before and after each item (joined by " | ", nearest first)."""
-    w = Window.partitionBy(page).orderBy(order)
-    h = items.withColumn("_h", heading)
-    out = h
-    for side, shift in (("before", F.lag), ("after", F.lead)):
-        # The k-th nearest heading is where the count of headings so far is k less.
-        out = out.withColumn(f"_{side}", F.concat_ws(" | ", *[shift("_h", k).over(w) for k in range(1, most + 1)]))
-    return out.withColumnRenamed("_before", "headings_before").withColumnRenamed("_after", "headings_after").drop("_h")
+    """The nearest headings of the same page before and after each item, in the page's order, joined by " | ".
+
+    However many other items lie between. Blank headings are none; items that ``order`` doesn't tell apart go by heading.
+    """
+    h = items.withColumn("_h", F.when(F.trim(heading) != "", heading))
+    h = h.withColumn("_at", F.row_number().over(Window.partitionBy(page).orderBy(order, F.col("_h").asc_nulls_last())))
+    out, names = h, {}
+    for side, by, pick in (("before", F.col("_at"), F.reverse), ("after", F.desc("_at"), lambda a: a)):
+        w = Window.partitionBy(page).orderBy(by)
+        ahead = w.rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn(f"_n{side}", F.count("_h").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        got = [F.last(F.when(F.col("_h").isNotNull() & (F.col(f"_n{side}") % most == k), F.struct(F.col(f"_n{side}").alias("n"), "_h")), True).over(ahead) for k in range(most)]
+        nearest = F.transform(F.sort_array(F.array_compact(F.array(*got)), asc=False), lambda x: x["_h"])
+        names[side] = F.array_join(pick(nearest), " | ")
+        out = out.withColumn(f"headings_{side}", names[side])
+    return out.select(*items.columns, "headings_before", "headings_after")
 
 
 def merge_groups(members: DataFrame, group: str) -> DataFrame:
@@ -208,6 +216,122 @@ def widen_short_rows(cells: Column, spans: Column, width: Column) -> Column:
     return F.when(F.size(cells).between(1, 2) & (missing > 0), F.concat(F.slice(spans, F.lit(1), F.size(spans) - 1), F.array(F.element_at(spans, -1) + missing))).otherwise(spans)
 
 
+def table_faults(rows: DataFrame, table: str, width: Column, header: Column, text: Column, n_cols: Column | None = None) -> DataFrame:
+    """Rules that tables break, a row each: table, fault.
+
+    collapsed: a header of three columns or more over a body whose middle width is 1 and of which 60 % are single cells.
+    mostly_single: the widest row has four columns or more, but 1 is the most frequent width and that of 70 %. too_wide: more
+    than 50 columns, as declared or else as the widest row has. no_text: no cell with text. width is a row's number of
+    columns, spans included; an even number of body rows takes the upper one of the middle two. Of equally frequent widths
+    the first row's counts.
+    """
+    t = rows.select(F.col(table).alias("_t"), width.alias("w"), F.coalesce(header, F.lit(False)).alias("h"), F.coalesce(text, F.lit(False)).alias("x"), (n_cols if n_cols is not None else F.lit(None).cast("int")).alias("c"))
+    counts = t.groupBy("_t", "h", "w").agg(F.count("*").alias("n"), F.max("x").alias("x"), F.max("c").alias("c"))
+    body = Window.partitionBy("_t", "h").orderBy("w")
+    placed = counts.withColumns({"upto": F.sum("n").over(body), "all": F.sum("n").over(Window.partitionBy("_t", "h"))})
+    middle = F.min(F.when(~F.col("h") & (F.col("upto") > F.floor(F.col("all") / 2)), F.col("w")))
+    one = lambda c: F.coalesce(F.sum(F.when(c & (F.col("w") == 1), F.col("n"))), F.lit(0))
+    total = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+    widths = counts.groupBy("_t", "w").agg(F.sum("n").alias("n")).groupBy("_t").agg(F.max("n").alias("top"), F.max(F.when(F.col("w") == 1, F.col("n"))).alias("singles"))
+    got = placed.groupBy("_t").agg(F.max(F.when(F.col("h"), F.col("w"))).alias("head"), middle.alias("mid"), one(~F.col("h")).alias("one_body"), total(~F.col("h")).alias("body"), one(F.lit(True)).alias("one_all"), total(F.lit(True)).alias("rows"), F.max("w").alias("widest"), F.max("x").alias("x"), F.max("c").alias("c"))
+    j = got.join(widths, "_t")
+    faults = {
+        "collapsed": (F.col("head") >= 3) & (F.col("mid") <= 1) & (F.col("one_body") >= 0.6 * F.col("body")) & (F.col("body") > 0),
+        "mostly_single": (F.col("widest") >= 4) & (F.col("singles") == F.col("top")) & (F.col("one_all") >= 0.7 * F.col("rows")),
+        "too_wide": F.coalesce("c", "widest") > 50,
+        "no_text": ~F.col("x"),
+    }
+    return j.select(F.col("_t").alias(table), F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+
+
+def box_faults(items: DataFrame, page: str, item: str, *, width: Column, height: Column, tolerance: float = 2.0) -> DataFrame:
+    """Rules that items' boxes break, a row each: page, item, fault.
+
+    items has box (x0, y0, x1, y1), kind and boundary. missing_box; out_of_bounds; duplicate_box: another item of the page
+    has the very same; and of footnotes incomplete (boundary other than complete), high (starts above 55 % of the page) and
+    tall (more than 35 % of it).
+    """
+    b = F.col("box")
+    known = b.isNotNull() & (F.size(b) == 4)
+    at = lambda k: F.when(known, b[k])
+    t = items.withColumn("_same", F.count("*").over(Window.partitionBy(page, "box")))
+    note = F.col("kind") == "footnote"
+    faults = {
+        "missing_box": ~F.coalesce(known, F.lit(False)),
+        "out_of_bounds": (at(0) < -tolerance) | (at(1) < -tolerance) | (at(2) > width + tolerance) | (at(3) > height + tolerance),
+        "duplicate_box": known & (F.col("_same") > 1),
+        "incomplete": note & (F.col("boundary") != "complete"),
+        "high": note & (at(1) < 0.55 * height),
+        "tall": note & ((at(3) - at(1)) / height > 0.35),
+    }
+    return t.select(page, item, F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in faults.items()]))).alias("fault"))
+
+
+def anchor_faults(anchors: DataFrame, units: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+    """What is wrong with the excerpts that candidates cite, a row each: candidate, place, fault.
+
+    anchors has candidate, place (the given order), unit, excerpt and nth (which occurrence); units has unit, order and text.
+    unknown_unit; absent: fewer occurrences; out_of_order: before the one ahead of it; overlap: begins inside the one ahead of
+    it in the same unit. texts (candidate, text) must be the excerpts one after another with optional white space between:
+    else text_differs, at place null.
+    """
+    from weft.functions.ids import occurrence_span
+
+    u = units.select("unit", F.col("order").alias("_o"), F.col("text").alias("_t")).dropDuplicates(["unit"])
+    j = anchors.join(u, "unit", "left").withColumn("_s", F.when(F.col("_t").isNotNull(), occurrence_span(F.col("_t"), F.col("excerpt"), F.col("nth"))))
+    w = Window.partitionBy("candidate").orderBy("place")
+    here = F.struct(F.col("_o").alias("o"), F.col("_s.start").alias("a"), F.col("_s.end").alias("b"))
+    placed = F.when(F.col("_s").isNotNull(), here)
+    j = j.withColumns({"_p": placed, "_q": F.lag(placed).over(w), "_before": F.lag("unit").over(w)})
+    key = lambda c: F.struct(c["o"], c["a"], c["b"])
+    overlap = (F.col("_before") == F.col("unit")) & (F.col("_p.a") < F.col("_q.b"))
+    why = F.when(F.col("_t").isNull(), "unknown_unit").when(F.col("_s").isNull(), "absent").when(key(F.col("_p")) < key(F.col("_q")), "out_of_order").when(overlap, "overlap")
+    out = j.withColumn("fault", why).where("fault is not null").select("candidate", "place", "fault")
+    if texts is None:
+        return out
+    quoted = F.transform(F.array_sort(F.collect_list(F.struct("place", "excerpt"))), lambda x: F.concat(F.lit(r"\Q"), F.replace(F.trim(x["excerpt"]), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")))
+    patterns = anchors.groupBy("candidate").agg(F.concat(F.lit(r"(?s)\A\s*"), F.array_join(quoted, r"\s*"), F.lit(r"\s*\z")).alias("_pattern"))
+    differs = texts.join(patterns, "candidate").where(~F.rlike(F.coalesce("text", F.lit("")), F.col("_pattern")))
+    return out.unionByName(differs.select("candidate", F.lit(None).cast(anchors.schema["place"].dataType).alias("place"), F.lit("text_differs").alias("fault")))
+
+
+def source_order(segment: Column, row: Column, column: Column, start: Column, item: Column) -> Column:
+    """A total order of items by where their source stands; unknown places come last, the item settles ties."""
+    last = lambda c: F.coalesce(c.cast("long"), F.lit((1 << 62)))
+    return F.struct(last(segment).alias("segment"), last(row).alias("row"), last(column).alias("column"), last(start).alias("start"), item.cast("string").alias("item"))
+
+
+def neighbour_windows(members: DataFrame, windows: DataFrame, group: str, index: str, radius: int) -> DataFrame:
+    """(group, index) of the windows there are within a radius of any member's window, each once."""
+    reach = members.select(group, F.explode(F.sequence(F.col(index) - radius, F.col(index) + radius)).alias(index)).distinct()
+    return reach.join(windows.select(index).distinct(), index).select(group, index)
+
+
+def edge_item(items: DataFrame, page: str, *, bottom: bool, prefer: list[Column], top: str = "y0", low: str = "y1", item: str = "item") -> DataFrame:
+    """The item of each page that stands lowest (bottom) or highest, after preferences: those that fulfil the first condition
+    come before others, then by the second, and so on; then by edge, then the later or earlier item. A row for each page."""
+    keys = [(~F.coalesce(c, F.lit(False))).cast("int") for c in prefer]
+    order = [*keys, F.desc(low), F.desc(item)] if bottom else [*keys, F.col(top), F.col(item)]
+    return items.withColumn("_k", F.row_number().over(Window.partitionBy(page).orderBy(*order))).where("_k = 1").drop("_k")
+
+
+def flatten_windows(windows: DataFrame, doc: str, window: str, candidates: str) -> DataFrame:
+    """Window-local candidates (an array of structs with local_id) as one table with a key each: doc, window, place, key, and
+    the candidates' fields. A key is made of document, window and local id, or the place where there is none."""
+    rows = windows.select(F.col(doc).alias("doc"), F.col(window).alias("window"), F.posexplode(candidates).alias("place", "c"))
+    name = F.coalesce(F.col("c.local_id").cast("string"), F.concat(F.lit("#"), F.col("place").cast("string")))
+    return rows.select("doc", "window", "place", F.concat_ws(":", F.col("doc").cast("string"), F.col("window").cast("string"), name).alias("key"), "c.*")
+
+
+def signals_within(signals: DataFrame, members: DataFrame) -> DataFrame:
+    """Signals that two or more members of one component share: component, kind, value, n, ids; a component's members are few.
+
+    signals has kind, value and id; members id and component.
+    """
+    j = signals.select("kind", "value", "id").distinct().join(members.select("id", "component").distinct(), "id")
+    return j.groupBy("component", "kind", "value").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("id")).alias("ids")).where("n >= 2")
+
+
 def collapsed_tables(rows: DataFrame, table: str, width: Column, header: Column) -> DataFrame:
     """Tables that lost their columns: a header of three or more over a body whose median is 1 at most and mostly single cells;
     or more than 50 columns."""

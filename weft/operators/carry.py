@@ -13,16 +13,25 @@ def fill_down(df: DataFrame, value: str, group: list[str], order: list[str], out
 
 
 def heading_path(df: DataFrame, heading: str, group: list[str], order: list[str], most: int = 3) -> DataFrame:
-    """The last few headings up to each row, without ones that repeat the one before: path (joined by " > ")."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    heads = df.withColumn("_prev", F.last(heading, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    new = F.when(F.col(heading).isNotNull() & ~F.col(heading).eqNullSafe(F.col("_prev")), F.col(heading))
-    # Only the last few matter: each is the nth last new heading, found by numbering them.
-    numbered = heads.withColumn("_new", new).withColumn("_no", F.count("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    seen = numbered.where("_new is not null").select(*group, F.col("_no").alias("_k"), F.col("_new").alias("_h"))
-    reach = numbered.withColumn("_k", F.explode_outer(F.when(F.col("_no") > 0, F.sequence(F.greatest(F.lit(1), F.col("_no") - most + 1), F.col("_no")))))
-    joined = reach.join(seen, [*group, "_k"], "left")
-    return joined.groupBy(*df.columns).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_h").isNotNull(), F.struct("_k", "_h")))), lambda x: x["_h"]), " > ").alias("path"))
+    """The last few headings up to each row, without ones that repeat the one before: path (joined by " > ").
+
+    Headings compare trimmed, single-spaced and folded; blank ones are none. Each row keeps a path of its own, also where
+    rows are equal; rows that ``order`` doesn't tell apart go by the heading and then as they come.
+    """
+    text = F.when(F.trim(heading) != "", F.trim(heading))
+    base = df.withColumn("_h", text).withColumn("_f", F.lower(F.regexp_replace("_h", r"\s+", " ")))
+    placed = base.withColumn("_at", F.row_number().over(Window.partitionBy(*group).orderBy(*order, F.col("_f").asc_nulls_last())))
+    w = Window.partitionBy(*group).orderBy("_at")
+    so_far, earlier = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    new = placed.withColumn("_new", F.when(F.col("_f").isNotNull() & ~F.col("_f").eqNullSafe(F.last("_f", True).over(earlier)), F.col("_h")))
+    # The k-th last new heading is the last one whose number leaves the same rest as the current count less k.
+    out = new.withColumn("_no", F.count("_new").over(so_far))
+    parts = []
+    for k in range(most):
+        out = out.withColumn(f"_r{k}", F.last(F.when(F.col("_new").isNotNull() & (F.col("_no") % most == k), F.struct("_no", "_new")), True).over(so_far))
+        parts.append(f"_r{k}")
+    path = F.array_join(F.transform(F.array_sort(F.array_compact(F.array(*parts))), lambda x: x["_new"]), " > ")
+    return out.withColumn("path", path).select(*df.columns, "path")
 
 
 def active_parent(df: DataFrame, level: str, item: str, group: list[str], order: list[str], levels: int) -> DataFrame:

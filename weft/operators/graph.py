@@ -93,6 +93,27 @@ def descendants(edges: DataFrame, flagged: DataFrame) -> DataFrame:
     return known if known is not None else front
 
 
+def longest_depth(edges: DataFrame) -> DataFrame:
+    """(node, depth) of nodes with a parent, over edges (child, parent) of a DAG: the longest way up.
+
+    Round k finds the nodes from which k steps up are possible, from those of the round before. A graph of n nodes has no
+    longer way than n - 1; more rounds mean a cycle, which is an error.
+    """
+    edges = materialize(edges.select("child", "parent").where("child is not null and parent is not null").distinct(), "depth")
+    most = edges.select("child").distinct().count()
+    front, known = materialize(edges.select(F.col("child").alias("node")).distinct(), "depth"), None
+    for depth in count(1):
+        if front.isEmpty():
+            break
+        if depth > most:
+            raise RuntimeError("a cycle has no longest way")
+        known = joined(known, front.withColumn("depth", F.lit(depth)), depth)
+        front = materialize(front.join(edges, F.col("node") == F.col("parent")).select(F.col("child").alias("node")).distinct(), "depth")
+    if known is None:
+        return front.withColumn("depth", F.lit(0))
+    return known.groupBy("node").agg(F.max("depth").alias("depth"))
+
+
 def cyclic_core(edges: DataFrame, *, most: int = 200) -> DataFrame:
     """Edges (a, b) left after nodes without incoming or without outgoing edges are peeled off: what cycles live in."""
     left = materialize(edges.select("a", "b").distinct(), "peel")
@@ -211,6 +232,22 @@ def strong_components(edges: DataFrame) -> DataFrame:
     return found.join(found.groupBy("component").count().where("count > 1").select("component"), "component", "left_semi").select("node", "component")
 
 
+def sibling_counts(edges: DataFrame) -> DataFrame:
+    """(node, n, first_sibling) of nodes with siblings, over edges (child, parent): how many other children their parents have.
+
+    A node with one parent needs its group's size and two least children only; pairs are made for nodes with several parents.
+    """
+    e = edges.select("child", "parent").where("child is not null and parent is not null").distinct()
+    least = e.groupBy("parent").agg(F.count("*").alias("n"), F.min("child").alias("lo"))
+    second = e.join(least.select("parent", "lo"), "parent").where("child <> lo").groupBy("parent").agg(F.min("child").alias("second"))
+    parents = e.groupBy("child").agg(F.count("*").alias("_p"))
+    one = e.join(parents.where("_p = 1").select("child"), "child").join(least, "parent").join(second, "parent", "left").where("n > 1")
+    single = one.select(F.col("child").alias("node"), (F.col("n") - 1).alias("n"), F.when(F.col("child") == F.col("lo"), F.col("second")).otherwise(F.col("lo")).alias("first_sibling"))
+    several = e.join(parents.where("_p > 1").select("child"), "child")
+    pairs = several.join(e.select("parent", F.col("child").alias("sibling")), "parent").where("child <> sibling").select(F.col("child").alias("node"), "sibling").distinct()
+    return single.unionByName(pairs.groupBy("node").agg(F.count("*").alias("n"), F.min("sibling").alias("first_sibling")))
+
+
 def siblings(edges: DataFrame) -> DataFrame:
     """(node, sibling) with a common parent, itself left out, each once."""
     e = edges.select("child", "parent").distinct()

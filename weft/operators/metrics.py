@@ -124,3 +124,32 @@ def cohort_rank(pairs: DataFrame, group: list[str], common: str, total: str, mos
     """The most similar pairs of each group by exact fraction, then endpoints. Fractions compare as integers over 10^12."""
     share = F.floor(F.col(common).cast("decimal(38,0)") * F.lit(10**12).cast("decimal(38,0)") / F.greatest(F.col(total), F.lit(1)).cast("decimal(38,0)"))
     return pairs.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(share.desc(), "item_a", "item_b"))).where(F.col("rank") <= most)
+
+
+def spread(value: Column) -> Column:
+    """Population standard deviation; 0 for fewer than two values."""
+    return F.when(F.count(value) < 2, F.lit(0.0)).otherwise(F.stddev_pop(value))
+
+
+def tier_acceptance(offered: DataFrame, chosen: DataFrame, tier: str, keys: list[str]) -> DataFrame:
+    """How many options of each distance tier were offered, and how many of them chosen: tier, offered, accepted, rate."""
+    c = chosen.select(*keys).distinct().withColumn("_c", F.lit(True))
+    j = offered.select(tier, *keys).distinct().join(c, keys, "left")
+    got = j.groupBy(tier).agg(F.count("*").alias("offered"), F.count("_c").alias("accepted"))
+    return got.withColumn("rate", F.round(F.col("accepted") / F.col("offered"), 9))
+
+
+def endpoint_features(edges: DataFrame, uses: DataFrame, *, least: int = 10) -> DataFrame:
+    """Features of graph nodes: node, parents, children, components, reused (a component that ``least`` or more items have),
+    below_many (it or a node above it has several parents). edges has child and parent, uses item and component."""
+    from weft.operators.graph import adjacency, descendants
+
+    degrees = adjacency(edges)
+    u = uses.distinct()
+    often = u.groupBy("component").agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select("component")
+    have = u.join(often.withColumn("_often", F.lit(True)), "component", "left").groupBy(F.col("item").alias("node")).agg(F.count("*").alias("components"), (F.count("_often") > 0).alias("reused"))
+    many = degrees.where("parents > 1").select("node")
+    below = many.union(descendants(edges, many).select("node")).distinct().withColumn("below_many", F.lit(True))
+    j = degrees.join(have, "node", "full_outer").join(below, "node", "left")
+    zero, no = F.lit(0), F.lit(False)
+    return j.select("node", F.coalesce("parents", zero).alias("parents"), F.coalesce("children", zero).alias("children"), F.coalesce("components", zero).alias("components"), F.coalesce("reused", no).alias("reused"), F.coalesce("below_many", no).alias("below_many"))

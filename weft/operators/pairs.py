@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Evidence names from the strongest on.
-PRECEDENCE = ("shared_components", "hierarchy", "component_text", "component_tags", "item_text", "item_trigrams", "code_prefix", "rank", "page")
+from weft.sources.scratch import materialize, small
+
+# The names that evidence is stored under, from the strongest on.
+PRECEDENCE = (
+    "shared_learning_components",
+    "hierarchy_context",
+    "lc_text_token_overlap",
+    "lc_tag_token_overlap",
+    "sfi_text_token_overlap",
+    "sfi_text_trigram_overlap",
+    "source_code_prefix",
+    "local_rank_proximity",
+    "source_page_proximity",
+)
 
 
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
@@ -27,12 +39,12 @@ def admissible(pairs: DataFrame, policy: DataFrame) -> DataFrame:
 
     A directed permission also needs a rank that isn't later; the two decisions that publish nothing are always open.
     """
-    p = F.broadcast(policy)
-    directed = pairs.join(p.where("directed").select(F.col("source").alias("type_a"), F.col("target").alias("type_b"), F.lit(True).alias("_forth")).distinct(), ["type_a", "type_b"], "left")
-    directed = directed.join(p.where("directed").select(F.col("target").alias("type_a"), F.col("source").alias("type_b"), F.lit(True).alias("_back")).distinct(), ["type_a", "type_b"], "left")
+    one_way = policy.where("directed")
+    directed = pairs.join(small(one_way.select(F.col("source").alias("type_a"), F.col("target").alias("type_b"), F.lit(True).alias("_forth")).distinct()), ["type_a", "type_b"], "left")
+    directed = directed.join(small(one_way.select(F.col("target").alias("type_a"), F.col("source").alias("type_b"), F.lit(True).alias("_back")).distinct()), ["type_a", "type_b"], "left")
     loose = policy.where("not directed")
     both = loose.select(F.col("source").alias("type_a"), F.col("target").alias("type_b")).union(loose.select(F.col("target").alias("type_a"), F.col("source").alias("type_b"))).distinct().withColumn("_relates", F.lit(True))
-    joined = directed.join(F.broadcast(both), ["type_a", "type_b"], "left")
+    joined = directed.join(small(both), ["type_a", "type_b"], "left")
     decisions = F.array_compact(
         F.array(
             F.when(F.col("_forth") & may_build(F.col("rank_a"), F.col("rank_b")), F.lit("builds_forward")),
@@ -69,9 +81,29 @@ def bucket_pairs(items: DataFrame, item: str, buckets: dict[str, Column], *, mos
     return out
 
 
+def indexed(items: DataFrame, item: str) -> DataFrame:
+    """(item, i) of distinct items, numbered from 0 in their order: within ranges, after the sizes of the ranges before."""
+    n = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(items.select(F.col(item).alias("item")).where("item is not null").distinct().repartitionByRange(n, "item").withColumn("_p", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_a"))
+    return dealt.join(F.broadcast(before), "_p").select("item", (F.col("_a") + F.row_number().over(Window.partitionBy("_p").orderBy("item")) - 1).alias("i"))
+
+
 def cyclic_pairs(items: DataFrame, item: str, most: int) -> DataFrame:
-    """Balanced pairs by rotation distance: every item meets its neighbour, then the next but one, up to the limit."""
-    return bucket_pairs(items, item, {"cycle": F.array(F.lit(0))}, most=most).drop("signal")
+    """Balanced pairs by rotation distance: every item meets its neighbour, then the next but one, up to the limit.
+
+    The pair of item i at distance d is the ((d - 1) n + i)-th, so those within the limit are known without an order.
+    """
+    placed = materialize(indexed(items, item), "indexed")
+    n = placed.count()
+    if n < 2:
+        return placed.limit(0).select(F.col("item").alias("item_a"), F.col("item").alias("item_b"))
+    reach = min(n // 2, -(-most // n))
+    turned = placed.withColumn("d", F.explode(F.sequence(F.lit(1), F.lit(reach)))).where((F.col("d") - 1) * n + F.col("i") < most)
+    pair = turned.withColumn("j", (F.col("i") + F.col("d")) % n).where((F.col("d") * 2 != n) | (F.col("i") < F.col("j")))
+    other = placed.select(F.col("i").alias("j"), F.col("item").alias("other"))
+    return pair.join(other, "j").select(F.least("item", "other").alias("item_a"), F.greatest("item", "other").alias("item_b"))
 
 
 def candidate_bound(n: int, per_item: int, total: int) -> int:
@@ -108,3 +140,10 @@ def within_budgets(pairs: DataFrame, scope: str, place: str, per_item: int, tota
         return pdf.sort_values(place).iloc[rows]
 
     return pairs.groupBy(scope).applyInPandas(run, pairs.schema)
+
+
+def eligibility(items: DataFrame, relations: dict[str, list[tuple[str, Column]]]) -> DataFrame:
+    """Whether each item takes part in each relation, and if not the first reason: the columns of items, relation, eligible,
+    reason. Each relation has its ordered list of (reason, condition)."""
+    each = F.array(*[F.struct(F.lit(r).alias("relation"), first_reason(rules).alias("reason")) for r, rules in relations.items()])
+    return items.withColumn("_r", F.explode(each)).select(*items.columns, "_r.relation", F.col("_r.reason").isNull().alias("eligible"), "_r.reason")

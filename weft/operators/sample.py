@@ -50,7 +50,11 @@ def pair_at(groups: DataFrame, index: DataFrame, group: str, size: str) -> DataF
     pairs = F.col(size) * (F.col(size) - 1) / 2
     w = Window.orderBy(group)
     cum = groups.select(group, size, F.sum(pairs).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long").alias("_hi"), pairs.cast("long").alias("_n")).where("_n > 0").withColumn("_lo", F.col("_hi") - F.col("_n"))
-    both = index.join(F.broadcast(cum), (F.col("index") >= F.col("_lo")) & (F.col("index") < F.col("_hi")))
+    # Groups stand in all stretches of numbers that they cover; with the mean group's width these are two a group on average.
+    n, total = cum.agg(F.count("*"), F.coalesce(F.max("_hi"), F.lit(1))).first()
+    width = max(1, total // max(n, 1))
+    spread = cum.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor((F.col("_hi") - 1) / width))))
+    both = index.withColumn("_b", F.floor(F.col("index") / width)).join(spread, "_b").where((F.col("index") >= F.col("_lo")) & (F.col("index") < F.col("_hi")))
     k, s = F.col("index") - F.col("_lo"), F.col(size)
     i = F.floor(((2 * s - 1) - F.sqrt((2 * s - 1) * (2 * s - 1) - 8 * k)) / 2).cast("long")
     return both.withColumn("i", i).withColumn("j", F.col("index") - F.col("_lo") - (F.col("i") * (2 * s - F.col("i") - 1) / 2).cast("long") + F.col("i") + 1).select("index", group, "i", "j")
@@ -71,14 +75,59 @@ def selectors(options: DataFrame, item: str, option: str, score: str, path: str)
     return s.select(F.col(item), F.explode(chosen).alias("strategy"), F.col(option))
 
 
-def corruptions(rows: DataFrame, item: str, parts: str, text: str) -> DataFrame:
-    """Known-bad variants of rows with a list of parts: bundled, collapsed, forced redundancy, truncated, whole text only."""
+def _donors(rows: DataFrame, curriculum: str, block: str, item: str, seed: str, value: str) -> DataFrame:
+    """(item, donor): a value of a drawn row of the same curriculum but of another block; none where there is no other block.
+
+    Rows stand in blocks one after another, so those of other blocks are a stretch of places, in which a draw picks one.
+    """
+    whole, own = Window.partitionBy(curriculum), Window.partitionBy(curriculum, block)
+    placed = rows.withColumns({"_at": F.row_number().over(whole.orderBy(block, item, value)) - 1, "_n": F.count("*").over(whole), "_s": F.count("*").over(own)})
+    placed = placed.withColumn("_a", F.min("_at").over(own))
+    first = placed.select(curriculum, block, "_n", "_s", "_a").distinct()
+    draws = rows.select(curriculum, block, item).distinct().join(first, [curriculum, block]).where("_n > _s")
+    number = F.conv(F.substring(draw(seed, F.col(item)), 1, 12), 16, 10).cast("long")
+    wanted = draws.select(curriculum, item, ((F.col("_a") + F.col("_s") + number % (F.col("_n") - F.col("_s"))) % F.col("_n")).alias("_at"))
+    return wanted.join(placed.select(curriculum, "_at", F.col(value).alias("donor")), [curriculum, "_at"]).select(item, "donor")
+
+
+def corruptions(rows: DataFrame, item: str, parts: str, *, curriculum: str, strand: str, seed: str = "control") -> DataFrame:
+    """Known-bad variants of rows with a list of parts, as negative controls: item, kind, parts.
+
+    bundled_components: one part drawn takes another one in, joined by a semicolon (two parts or more). collapsed_set: all in
+    one. cross_strand_swap: a drawn part is replaced by one of a row of another strand. forced_redundancy: a part twice.
+    invented_specificity: the last clause, three words or more, of another row's part is put in brackets behind one.
+    truncation: a part of five words or more loses the last 40 %. under_decomposition: the first of three or more alone.
+    Draws depend on seed and item only. Rows for which a kind isn't possible don't get it; null and empty lists get none.
+    """
+    n = F.size(parts)
+    pick = lambda name, of: F.conv(F.substring(draw(f"{seed}:{name}", F.col(item)), 1, 12), 16, 10).cast("long") % of
+    bare = lambda t: F.regexp_replace(t, r"\.+$", "")
+    told = rows.where(n > 0).select(item, curriculum, strand, F.col(parts).alias("_parts"))
+    single = told.select(item, curriculum, strand, F.explode("_parts").alias("_part"))
+    swapped = _donors(single, curriculum, strand, item, f"{seed}:swap", "_part").withColumnRenamed("donor", "_swap")
+    tails = single.select(item, curriculum, F.trim(F.element_at(F.split(bare(F.col("_part")), ","), -1)).alias("_tail")).where(F.size(F.split("_tail", r"\s+")) >= 3)
+    told_tails = tails.withColumn("_own", F.col(item))
+    clause = _donors(told_tails, curriculum, "_own", item, f"{seed}:clause", "_tail").withColumnRenamed("donor", "_clause")
+    others = told.join(tails.select(curriculum).distinct(), curriculum, "left_semi").join(clause, item, "left_anti").select(item, curriculum)
+    # Rows without a clause of their own draw from all of their curriculum.
+    alone = others.withColumn("_tail", F.lit("")).withColumn("_own", F.col(item))
+    rest = _donors(told_tails.unionByName(alone), curriculum, "_own", item, f"{seed}:clause", "_tail").withColumnRenamed("donor", "_clause").join(others.select(item), item, "left_semi").where("_clause <> ''")
+    j = told.join(swapped, item, "left").join(clause.unionByName(rest), item, "left")
+    p, m = F.col("_parts"), F.size("_parts")
+    at = lambda i, value: F.transform(p, lambda x, k: F.when(k == i, value).otherwise(x))
+    first = pick("first", m)
+    second = (first + 1 + pick("second", F.greatest(m - 1, F.lit(1)))) % m
+    merged = F.concat(bare(F.get(p, first)), F.lit("; "), F.get(p, second))
+    long = F.filter(F.transform(p, lambda x, k: F.struct(k.alias("k"), F.split(F.trim(x), r"\s+").alias("w"))), lambda x: F.size(x["w"]) >= 5)
+    cut = F.get(long, pick("cut", F.greatest(F.size(long), F.lit(1))))
     kinds = {
-        "bundled": F.array(F.array_join(parts, " and ")),
-        "collapsed": F.slice(parts, 1, 1),
-        "redundant": F.concat(parts, F.slice(parts, 1, 1)),
-        "truncated": F.transform(parts, lambda p: F.substring(p, 1, 12)),
-        "undivided": F.array(F.col(text)),
+        "bundled_components": F.when(m >= 2, F.filter(at(first, merged), lambda x, k: k != second)),
+        "collapsed_set": F.when(m >= 2, F.array(F.array_join(F.transform(p, bare), "; "))),
+        "cross_strand_swap": F.when(F.col("_swap").isNotNull(), at(pick("place", m), F.col("_swap"))),
+        "forced_redundancy": F.concat(p, F.array(F.get(p, pick("twice", m)))),
+        "invented_specificity": F.when(F.col("_clause").isNotNull(), at(pick("vague", m), F.concat(bare(F.get(p, pick("vague", m))), F.lit(" ("), F.col("_clause"), F.lit(")")))),
+        "truncation": F.when(F.size(long) > 0, at(cut["k"], F.array_join(F.slice(cut["w"], F.lit(1), F.greatest(F.lit(2), F.floor(F.size(cut["w"]) * 0.6).cast("int"))), " "))),
+        "under_decomposition": F.when(m >= 3, F.slice(p, 1, 1)),
     }
-    made = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("parts")) for k, v in kinds.items()])
-    return rows.withColumn("_c", F.explode(made)).select(item, "_c.kind", "_c.parts")
+    made = F.array_compact(F.array(*[F.when(v.isNotNull(), F.struct(F.lit(k).alias("kind"), v.alias("parts"))) for k, v in kinds.items()]))
+    return j.withColumn("_c", F.explode(made)).select(item, "_c.kind", "_c.parts")

@@ -6,9 +6,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _made: dict[str, str] = {}
+#: Paths that materialize() wrote, oldest first, for clear().
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +37,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once as Parquet and read it again: lineage ends here and lost executors cost only their tasks."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -50,6 +54,27 @@ def remove_table(df: DataFrame) -> None:
         remove(df.sparkSession, files[0].rsplit("/", 1)[0])
 
 
+def mark() -> int:
+    """A place in the list of written tables, for clear()."""
+    return len(_written)
+
+
+def clear(spark: SparkSession, since: int) -> None:
+    """Delete the tables that materialize() wrote since a mark, but for the last one."""
+    for path in _written[since:-1]:
+        remove(spark, path)
+    del _written[since:-1]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+#: Rows of policy tables and the like that are broadcast.
+BROADCAST_ROWS = 10_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df, to be broadcast if its rows, counted here, are few; otherwise the join is left to Spark."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -10,10 +10,24 @@ from pyspark.sql import functions as F
 from weft.sources.scratch import exists
 
 
+#: Indices of a block.
+BLOCK = 65_536
+
+
 def contiguous_prefix(done: DataFrame, group: list[str], index: str) -> DataFrame:
-    """Completed rows up to the first gap; indices start at 0 in each group."""
-    w = Window.partitionBy(*group).orderBy(index) if group else Window.orderBy(index)
-    return done.withColumn("_k", F.row_number().over(w) - 1).where(F.col(index) == F.col("_k")).drop("_k")
+    """Completed rows up to the first gap; indices start at 0 in each group, and rows with one index stay together.
+
+    Indices are counted in blocks: the first block that isn't full holds the first gap, and only it is looked through.
+    """
+    keys = done.where(F.col(index) >= 0).select(*group, index).distinct().withColumn("_b", F.floor(F.col(index) / BLOCK))
+    sizes = keys.groupBy(*group, "_b").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*group).orderBy("_b")
+    # A block counts if all before it are there and full.
+    fine = sizes.withColumns({"_k": F.row_number().over(w) - 1, "_full": F.coalesce(F.min((F.col("_n") == BLOCK).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(1))})
+    fine = fine.where("_b = _k and _full = 1").select(*group, "_b")
+    within = Window.partitionBy(*group, "_b").orderBy(index)
+    left = keys.join(fine, [*group, "_b"]).withColumn("_k", F.row_number().over(within) - 1).where(F.col(index) == F.col("_b") * BLOCK + F.col("_k")).select(*group, index)
+    return done.join(left, [*group, index], "left_semi")
 
 
 def trusted_prefix(logs: list[DataFrame], index: str, valid: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
