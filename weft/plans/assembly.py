@@ -44,19 +44,24 @@ def cached_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def property_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How each event's properties differ from those of the user's event before."""
-    e = table(spark, sf_dir, "events").withColumn("prev", F.lag("props").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
-    return assemble.json_differences(e.where("prev is not null"), "event_id", "prev", "props").groupBy("path").agg(F.count("*").alias("n"))
+    """How each event, as a nested object, differs from the user's event before."""
+    e = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    big = F.when(F.col("k") % 4 == 0, F.struct(F.col("k").alias("a/b"), F.lit("x").alias("c")))
+    now = F.to_json(F.struct(F.struct("event_type", (F.col("k") % 3).alias("m")).alias("kind"), (F.col("k") % 5).alias("k"), big.alias("big")))
+    e = e.withColumn("now", now).withColumn("prev", F.lag("now").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
+    got = assemble.json_differences(e.where("prev is not null"), "event_id", "prev", "now")
+    return got.groupBy("path").agg(F.count("*").alias("n"), F.count("old").alias("n_old"), F.count("new").alias("n_new"))
 
 
 def heading_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    return assemble.neighbour_headings(t, "conv_id", "turn", F.when(F.col("role") == "user", F.concat(F.lit("t"), F.col("turn").cast("string")))).select("conv_id", "turn", "headings_before", "headings_after")
+    """Turns whose length is a multiple of three as headings, with any number of other turns between them."""
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length(F.coalesce("text", F.lit(""))).alias("n"))
+    return assemble.neighbour_headings(t, "conv_id", "turn", F.when(F.col("n") % 3 == 0, F.concat("role", F.col("turn").cast("string")))).select("conv_id", "turn", "headings_before", "headings_after")
 
 
 def covering_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as cells of a grid of two columns: even rows' left cells reach down one row."""
-    l = table(spark, sf_dir, "lineitem").where("l_orderkey < 500").select(F.col("l_orderkey").alias("table"), (F.col("l_linenumber") - 1).cast("int").alias("row")).distinct()
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("table"), (F.col("l_linenumber") - 1).cast("int").alias("row")).distinct()
     grid = l.withColumn("col", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("source_row", F.when((F.col("col") == 0) & (F.col("row") % 2 == 1), F.col("row") - 1).otherwise(F.col("row")))
     child = l.select("table", F.col("row").alias("unit"), "row", F.concat(F.lit("c"), F.col("row").cast("string")).alias("id"))
     parent = l.where("row % 2 = 0").select("table", F.lit(-1).alias("unit"), "row", F.concat(F.lit("p"), F.col("row").cast("string")).alias("id"), F.lit(0).alias("first_col"), F.lit(0).alias("last_col"))
@@ -77,7 +82,7 @@ def cycle_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stitched_row_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "lineitem").where("l_orderkey < 1000").groupBy("l_orderkey", "l_linenumber").agg(F.max(F.col("l_quantity") % 4).cast("int").alias("n"))
+    s = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max(F.col("l_quantity") % 4).cast("int").alias("n"))
     got = assemble.row_boxes(s.withColumns({"top": F.lit(0.0), "bottom": F.col("n") * 10.0}), "l_orderkey", "l_linenumber", "n", "top", "bottom")
     return got.groupBy("l_orderkey").agg(F.count("*").alias("n_rows"), F.max("row").alias("last_row"), F.sum("y1").alias("y1"))
 
@@ -125,17 +130,24 @@ select why is not null skipped, why, count(*) n from w group by 1, 2""",
 with d as (select o_custkey k, o_orderkey r, o_orderpriority p, row_number() over (partition by o_custkey order by o_orderkey) i from orders where o_orderkey % 3 = 0)
 select c_custkey k, r replicate, coalesce(p, 'pending') decision from customer left join d on k = c_custkey and i = 1""",
     "heading_neighbours": """
-with h as (select conv_id, turn, case when role = 'user' then 't' || turn end h from conversations)
-select conv_id, turn, concat_ws(' | ', lag(h, 1) over w, lag(h, 2) over w) headings_before, concat_ws(' | ', lead(h, 1) over w, lead(h, 2) over w) headings_after from h window w as (partition by conv_id order by turn)""",
+with h as (select conv_id, turn, case when length(coalesce(text, '')) % 3 = 0 then role || turn end h from conversations)
+select conv_id, turn, array_to_string(coalesce(list(h) filter (h is not null) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), [])[-2:], ' | ') headings_before,
+  array_to_string(coalesce(list(h) filter (h is not null) over (partition by conv_id order by turn rows between 1 following and unbounded following), [])[:2], ' | ') headings_after from h""",
+    "property_changes": """
+with e as (select user_id, event_type t, (props::json ->> 'k')::integer k, lag(event_type) over w pt, (lag(props) over w)::json ->> 'k' pk from events window w as (partition by user_id order by ts, event_id)),
+p as (select t, k, pt, pk::integer j from e where pk is not null),
+d as (select '/kind/event_type' path, 1 o, 1 n from p where t <> pt union all select '/kind/m', 1, 1 from p where k % 3 <> j % 3 union all select '/k', 1, 1 from p where k % 5 <> j % 5
+  union all select '/big', (j % 4 = 0)::int, (k % 4 = 0)::int from p where (k % 4 = 0) <> (j % 4 = 0) union all select '/big/a~1b', 1, 1 from p where k % 4 = 0 and j % 4 = 0 and k <> j)
+select path, count(*) n, sum(o)::bigint n_old, sum(n)::bigint n_new from d group by 1""",
     "covering_cells": """
-with l as (select distinct l_orderkey t, l_linenumber - 1 r from lineitem where l_orderkey < 500)
+with l as (select distinct l_orderkey t, l_linenumber - 1 r from lineitem)
 select c.t as table, 'c' || c.r child, 'p' || p.r parent, case when c.r = p.r then 'same_row' else 'covering' end relation from l c join l p on c.t = p.t and p.r % 2 = 0 and (c.r = p.r or c.r = p.r + 1)""",
     "placeholder_pages": """
 with b as (select l_suppkey, l_quantity % 3 x, l_linenumber % 2 y, count(*) n from lineitem group by 1, 2, 3),
 r as (select *, row_number() over (partition by l_suppkey order by n desc, x, y) k, sum(n) over (partition by l_suppkey) total from b)
 select l_suppkey, round(n / total, 6) share from r where k = 1 and total >= 3 and ((x = 0 and y = 0 and n / total >= 0.3) or n / total >= 0.2)""",
     "stitched_row_boxes": """
-with s as (select l_orderkey, l_linenumber, max(l_quantity % 4)::integer n from lineitem where l_orderkey < 1000 group by 1, 2)
+with s as (select l_orderkey, l_linenumber, max(l_quantity % 4)::integer n from lineitem group by 1, 2)
 select l_orderkey, sum(n)::bigint n_rows, (sum(n) - 1)::bigint last_row, sum(10.0 * n * (n + 1) / 2)::double y1 from s group by 1 having sum(n) > 0""",
     "collapsed_tables": """
 with l as (select l_orderkey, l_linenumber = 1 h, case when l_linenumber = 1 then 3 else greatest((l_quantity % 4)::integer, 1) end w from lineitem),

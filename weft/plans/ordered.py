@@ -18,7 +18,7 @@ def fill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_heading_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "conversations").withColumn("heading", F.when(F.col("role") != "assistant", F.substring(F.coalesce("text", F.lit("")), 1, 6)))
+    t = table(spark, sf_dir, "conversations").withColumn("heading", F.when(F.col("role") != "assistant", F.coalesce("text", F.lit(""))))
     return carry.heading_path(t.select("conv_id", "turn", "heading"), "heading", ["conv_id"], ["turn"], most=2).select("conv_id", "turn", F.md5(F.col("path").cast("binary")).alias("path_md5"))
 
 
@@ -72,11 +72,11 @@ def reading_order_jumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contiguous_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of each supplier's orders up to the first missing number."""
+    """Quantities of each part from 1 up to the first that it was never ordered in."""
     from weft.streaming.state import contiguous_prefix as prefix
 
-    done = table(spark, sf_dir, "lineitem").where("l_quantity > 8").select("l_orderkey", (F.col("l_linenumber") - 1).alias("idx")).distinct()
-    return prefix(done, ["l_orderkey"], "idx").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    done = table(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_quantity") - 1).cast("long").alias("idx")).distinct()
+    return prefix(done, ["l_partkey"], "idx").groupBy("l_partkey").agg(F.count("*").alias("n"))
 
 
 def greedy_page_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,10 +99,11 @@ QUERIES = {f.__name__: f for f in (fill_down, running_heading_path, active_outli
 
 SQL = {
     "fill_down": "select event_id, last_value(case when event_id % 3 = 0 then event_type end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) filled from events",
-    "running_heading_path": """
-with h as (select conv_id, turn, case when role <> 'assistant' then substr(coalesce(text, ''), 1, 6) end heading from conversations),
-p as (select *, last_value(heading ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) prev from h),
-n as (select *, case when heading is not null and heading is distinct from prev then heading end fresh from p),
+    "running_heading_path": r"""
+with h as (select conv_id, turn, case when role <> 'assistant' and trim(coalesce(text, '')) <> '' then trim(text) end heading from conversations),
+k as (select *, lower(regexp_replace(heading, '\s+', ' ', 'g')) folded from h),
+p as (select *, last_value(folded ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) prev from k),
+n as (select *, case when folded is not null and folded is distinct from prev then heading end fresh from p),
 l as (select conv_id, turn, list(fresh) filter (fresh is not null) over (partition by conv_id order by turn rows between unbounded preceding and current row) fs from n)
 select conv_id, turn, md5(array_to_string(coalesce(fs, [])[-2:], ' > ')) path_md5 from l""",
     "active_outline_parent": """
@@ -132,8 +133,8 @@ select o_orderkey, lo >= o_orderdate and hi <= o_orderdate + interval 60 day ins
 with x as (select event_id, user_id, value, event_id % 7 / 7 x, lag(value) over w pv, lag(event_id % 7 / 7) over w px from events window w as (partition by user_id order by ts, event_id))
 select event_id, user_id from x where pv - value > 15 and abs(px - x) < 0.2""",
     "contiguous_prefix": """
-with d as (select distinct l_orderkey, l_linenumber - 1 idx from lineitem where l_quantity > 8), r as (select *, row_number() over (partition by l_orderkey order by idx) - 1 k from d)
-select l_orderkey, count(*) n from r where idx = k group by 1""",
+with d as (select distinct l_partkey, l_quantity::bigint - 1 idx from lineitem), r as (select *, row_number() over (partition by l_partkey order by idx) - 1 k from d)
+select l_partkey, count(*) n from r where idx = k group by 1""",
     "page_pair_candidates": """
 with t as (select conv_id, turn, row_number() over (partition by conv_id order by turn desc) back, row_number() over (partition by conv_id order by turn) forth from conversations),
 p as (select a.conv_id page, a.turn left_item, b.turn right_item, row_number() over (partition by a.conv_id order by a.back + b.forth, a.back, b.forth) k from t a join t b on a.conv_id + 1 = b.conv_id and a.back <= 3 and b.forth <= 3)

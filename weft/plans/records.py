@@ -12,8 +12,18 @@ from weft.plans.tables import table
 
 
 def dup_buckets_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by length within a language (as codes), folded text and raw text."""
     docs = table(spark, sf_dir, "documents")
-    return dedup.duplicate_buckets(docs, F.sha2(text.document_key(F.col("text")), 256), "doc_id", "text")
+    keys = {"code": F.concat_ws(":", "lang", F.col("n_chars").cast("string")), "description_text": F.sha2(text.document_key(F.col("text")), 256), "source_text": F.md5(F.col("text").cast("binary"))}
+    got = dedup.duplicate_buckets(docs, keys, "doc_id", type=F.col("source"), example=F.substring(F.md5(F.col("text").cast("binary")), 1, 8))
+    return got.select("kind", "bucket_key", "strength", "n", *[F.array_join(c, ",").alias(c) for c in ("ids", "types", "examples")])
+
+
+def bucket_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ids of the same buckets, in long form: how many distinct keys each document has a kind of."""
+    docs = table(spark, sf_dir, "documents")
+    got = dedup.bucket_members(docs, {"code": F.col("lang"), "source_text": F.md5(F.col("text").cast("binary"))}, "doc_id")
+    return got.groupBy("kind", "bucket_key").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
 
 def dup_buckets_by_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,28 +41,29 @@ def near_dup_pairs_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dup_pairs_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark texts and their trigram sets' sizes, with the exact overlap to the next item."""
-    items = table(spark, sf_dir, "benchmark").select("item_id", text.grams(F.lower("text")).alias("g"))
-    both = items.alias("a").join(items.alias("b"), F.col("a.item_id") + 1 == F.col("b.item_id"))
-    o = text.overlap(F.col("a.g"), F.col("b.g"))
-    return both.select(F.col("a.item_id").alias("item_id"), F.size("a.g").cast("long").alias("n_grams"), o["common"].alias("n_common"), o["total"].alias("n_total"), F.round(text.jaccard(F.col("a.g"), F.col("b.g")), 9).alias("jaccard"))
+    """Part names with the exact overlap of their trigrams, for all pairs of similarity 0.3 or more."""
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"), text.grams(F.lower("p_name")).alias("g")).distinct()
+    both = dedup.similar_pairs(names, "name", "g", 0.3)
+    return both.select("item_a", "item_b", "n_common", "n_total", F.round(F.col("n_common") / F.col("n_total"), 9).alias("jaccard"))
 
 
 def canonical_elect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: the canonical text of each language's sources by folded first line, with its group's size."""
-    docs = table(spark, sf_dir, "documents").withColumn("line", F.substring_index(F.coalesce("text", F.lit("")), "\n", 1))
-    got = dedup.canonical(docs.withColumn("skill", F.md5(text.skill_key(F.col("line")).cast("binary"))), ["lang", "skill"], F.col("line"))
+    """Flagship: the canonical form of each language's texts that fold to the same, with its group's size."""
+    docs = table(spark, sf_dir, "documents").withColumn("form", F.coalesce("text", F.lit("")))
+    got = dedup.canonical(docs.withColumn("skill", F.md5(text.skill_key(F.col("form")).cast("binary"))), ["lang", "skill"], F.col("form"))
     return got.select("lang", "skill", F.md5(F.col("canonical").cast("binary")).alias("canonical_md5"), F.col("n").cast("long").alias("n"), "forms")
 
 
 def mode_surface_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").withColumn("form", F.split_part(F.coalesce("text", F.lit("")), F.lit(" "), F.lit(1)))
-    return dedup.canonical(turns, ["role"], F.col("form")).select("role", F.col("canonical").alias("form"), F.col("n").cast("long").alias("n"), "forms")
+    """The most frequent spelling of each word of the conversations, in each role: words that differ in case only are one."""
+    turns = table(spark, sf_dir, "conversations").select("role", F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z]+"), F.lit(0))).alias("form"))
+    got = dedup.canonical(turns.withColumn("word", F.lower("form")), ["role", "word"], F.col("form"))
+    return got.select("role", "word", F.col("canonical").alias("form"), F.col("n").cast("long").alias("n"), "forms")
 
 
 def dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers that shared parts of one order connect; an edge is a (part, ship month)."""
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity >= 49").select(F.concat_ws(":", "l_partkey", F.date_format("l_shipdate", "yyyy-MM")).alias("edge"), F.col("l_suppkey").alias("supplier"))
+    """Suppliers that ship a part in the same month connect, over all lines."""
+    lines = table(spark, sf_dir, "lineitem").select(F.concat_ws(":", "l_partkey", F.date_format("l_shipdate", "yyyy-MM")).alias("edge"), F.col("l_suppkey").alias("supplier"))
     return dedup.hyperedge_components(lines, "edge", "supplier").select(F.col("node").alias("supplier"), "component")
 
 
@@ -131,7 +142,7 @@ def connected_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected_components(hierarchy(spark, sf_dir).select(F.col("child").alias("a"), F.col("parent").alias("b")))
 
 
-QUERIES = {f.__name__: f for f in (dup_buckets_exact, dup_buckets_by_scope, corpus_stopwords, near_dup_pairs_tokens, near_dup_pairs_trigrams, canonical_elect, mode_surface_form, dup_components, dup_clusters_constrained, code_across_types, uuid5_ids, canonical_props, join_text_fold, caption_codes, code_matches, bag_of_words_guard, text_keys, connected_pairs)}
+QUERIES = {f.__name__: f for f in (dup_buckets_exact, bucket_members, dup_buckets_by_scope, corpus_stopwords, near_dup_pairs_tokens, near_dup_pairs_trigrams, canonical_elect, mode_surface_form, dup_components, dup_clusters_constrained, code_across_types, uuid5_ids, canonical_props, join_text_fold, caption_codes, code_matches, bag_of_words_guard, text_keys, connected_pairs)}
 
 _GRAMS = "list_distinct(list_transform(range(1, greatest(length({0}) - 2, 1) + 1), lambda i: substr({0}, i, 3)))"
 _UUID = "substr({0}, 1, 8) || '-' || substr({0}, 9, 4) || '-5' || substr({0}, 14, 3) || '-' || substr('89ab', (('0x' || substr({0}, 17, 1))::integer & 3) + 1, 1) || substr({0}, 18, 3) || '-' || substr({0}, 21, 12)"
@@ -139,8 +150,17 @@ _NS = r"'\x6B\xA7\xB8\x11\x9D\xAD\x11\xD1\x80\xB4\x00\xC0\x4F\xD4\x30\xC8'::blob
 
 SQL = {
     "dup_buckets_exact": r"""
-select 'text' kind, bucket_key, count(*) n, min(doc_id) first_id, max(doc_id) last_id
-from (select doc_id, sha256(lower(trim(regexp_replace(coalesce(nfc_normalize(text), ''), '\s+', ' ', 'g')))) bucket_key from documents) group by 2 having count(*) >= 2""",
+with k as (select doc_id, source, substr(md5(text), 1, 8) e, unnest([{'kind': 'code', 'key': lang || ':' || n_chars, 's': 'strong_signal'},
+    {'kind': 'description_text', 'key': sha256(lower(trim(regexp_replace(coalesce(nfc_normalize(text), ''), '\s+', ' ', 'g')))), 's': 'medium_signal'},
+    {'kind': 'source_text', 'key': md5(text), 's': 'weak_signal'}]) b from documents),
+r as (select b.kind kind, b.key bucket_key, b.s strength, doc_id, source, e from k where b.key is not null),
+x as (select kind, bucket_key, e, min(doc_id) d from r where e is not null group by all),
+f as (select kind, bucket_key, array_to_string(list(e order by d, e)[:5], ',') examples from x group by all)
+select kind, bucket_key, strength, count(*) n, array_to_string(list(doc_id order by doc_id)[:5], ',') ids, array_to_string(list_sort(list(distinct source)), ',') types, coalesce(any_value(examples), '') examples
+from r left join f using (kind, bucket_key) group by 1, 2, 3 having count(*) >= 2""",
+    "bucket_members": """
+select 'code' kind, lang bucket_key, count(*) n, sum(doc_id)::bigint ids from documents where lang is not null group by 2
+union all select 'source_text', md5(text), count(*), sum(doc_id)::bigint from documents where text is not null group by 2""",
     "dup_buckets_by_scope": "select lang, md5(coalesce(text, '')) text_md5, count(*) n, count(distinct source) n_sources, min(doc_id) first_id from documents group by 1, 2 having count(*) >= 2",
     "corpus_stopwords": r"""
 with t as (select doc_id, unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}_]+'))) token from documents)
@@ -155,21 +175,21 @@ r as (select scope, text_a, text_b, list_filter([case when c >= 0.75 * least(na,
   case when c / (na + nb - c) >= 0.55 then 'token_jaccard' end, case when gc / (ga + gb - gc) >= 0.6 then 'trigram_jaccard' end], lambda x: x is not null) rules from p)
 select scope, text_a, text_b, array_to_string(rules, ',') rules from r where len(rules) > 0""",
     "near_dup_pairs_trigrams": f"""
-with g as (select item_id, {_GRAMS.format("lower(text)")} g from benchmark),
-p as (select a.item_id, len(a.g)::bigint n_grams, len(list_intersect(a.g, b.g))::bigint n_common, len(list_distinct(list_concat(a.g, b.g)))::bigint n_total from g a join g b on a.item_id + 1 = b.item_id)
-select *, round(n_common / n_total, 9) jaccard from p""",
+with n as (select distinct p_name t from part), g as (select t, {_GRAMS.format("lower(t)")} g from n),
+p as (select a.t item_a, b.t item_b, len(list_intersect(a.g, b.g))::bigint n_common, len(list_distinct(list_concat(a.g, b.g)))::bigint n_total from g a join g b on a.t < b.t)
+select *, round(n_common / n_total, 9) jaccard from p where 10 * n_common >= 3 * n_total""",
     "canonical_elect": r"""
-with l as (select lang, split_part(coalesce(text, ''), chr(10), 1) line from documents),
+with l as (select lang, coalesce(text, '') line from documents),
 s as (select lang, line, md5(trim(regexp_replace(regexp_replace(lower(trim(line)), '\s+', ' ', 'g'), '\.+$', ''))) skill from l),
 f as (select lang, skill, line, count(*) n from s group by 1, 2, 3),
 r as (select *, row_number() over (partition by lang, skill order by n desc, length(line), line) k, sum(n) over (partition by lang, skill) total, count(*) over (partition by lang, skill) forms from f)
 select lang, skill, md5(line) canonical_md5, total::bigint n, forms from r where k = 1""",
     "mode_surface_form": r"""
-with f as (select role, split_part(coalesce(text, ''), ' ', 1) form, count(*) n from conversations group by 1, 2),
-r as (select *, row_number() over (partition by role order by n desc, length(form), form) k, sum(n) over (partition by role) total, count(*) over (partition by role) forms from f)
-select role, form, total::bigint n, forms from r where k = 1""",
+with w as (select role, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+')) form from conversations), f as (select role, lower(form) word, form, count(*) n from w group by 1, 2, 3),
+r as (select *, row_number() over (partition by role, word order by n desc, form) k, sum(n) over (partition by role, word) total, count(*) over (partition by role, word) forms from f)
+select role, word, form, total::bigint n, forms from r where k = 1""",
     "dup_components": r"""
-with recursive m as (select distinct l_partkey || ':' || strftime(l_shipdate, '%Y-%m') edge, l_suppkey s from lineitem where l_quantity >= 49),
+with recursive m as (select distinct l_partkey || ':' || strftime(l_shipdate, '%Y-%m') edge, l_suppkey s from lineitem),
 h as (select edge, min(s) hub from m group by 1), e as (select distinct m.s a, h.hub b from m join h using (edge) where m.s <> h.hub),
 two as (select a, b from e union select b, a from e), reach(node, label) as (select a, a from two union select two.b, reach.label from reach join two on reach.node = two.a)
 select node supplier, min(label) component from reach group by 1""",
@@ -178,6 +198,14 @@ select node supplier, min(label) component from reach group by 1""",
 with x as (select p_partkey, p_name, p_brand, sha1({_NS} || ('pair:' || least(p_partkey::varchar, (p_partkey - 1)::varchar) || ':' || greatest(p_partkey::varchar, (p_partkey - 1)::varchar))::blob) h,
   sha1({_NS} || ('part:' || p_name)::blob) g from part where p_partkey > 1)
 select p_partkey, {_UUID.format("h")} pair_id, {_UUID.format("g")} name_id, substr(sha256(p_name), 1, 16) short, 'brand:' || substr(sha256(p_brand), 1, 16) bucket from x""",
+    "canonical_props": """select sha256('{"k":' || (props::json ->> 'k') || '}') hash, count(*) n, min(event_id) first_id from events where props is not null group by 1""",
+    "text_keys": r"""
+with x as (select '  ' || array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') || ' ..  ' || p_brand || '.' raw, p_brand from part),
+k as (select lower(trim(regexp_replace(raw, '\s+', ' ', 'g'))) d, lower(regexp_replace(regexp_replace(p_brand, '\s+', '', 'g'), '^\p{P}+|\p{P}+$', '', 'g')) code, trim(regexp_replace(lower(raw), '[^\p{L}\p{N}\p{M}]+', ' ', 'g')) c from x)
+select d document, d graph, code, c controlled, trim(regexp_replace(d, '\.+$', '')) skill, count(*) n from k group by all""",
+    "caption_codes": """
+with x as (select *, ['Table', 'Fig.', 'Tableau no', 'figure', 'Chapter'][p_partkey % 5 + 1] w from part)
+select p_partkey, case when w in ('Fig.', 'figure') then 'figure' else 'table' end kind, case w when 'Tableau no' then 'Tableau' else w end as prefix, p_size || case when p_partkey % 3 = 0 then '.2' else '' end identifier, p_name rest from x where w <> 'Chapter'""",
     "code_matches": r"""
 with f(family, pattern) as (values ('number', '[0-9]{3,}'), ('upper', '[A-Z]{4,}'), ('missing', 'ZZZ-[0-9]{9}')),
 m as (select family, doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), pattern) hits, string_split_regex(coalesce(text, ''), pattern) gaps from documents, f),
