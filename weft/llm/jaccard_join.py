@@ -504,9 +504,10 @@ def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame
         found = connected_components(edges, name="clusters")
         return materialize(found.select("node", F.col("component").alias("cluster")), "cluster")
 
-    def texts_of(keys: DataFrame) -> DataFrame:
-        """One text for each of the keys (column key), picked by its hash."""
-        wanted = own.join(keys, "key").groupBy("key").agg(F.min("h").alias("h")).select("h").distinct()
+    def texts_of(members: DataFrame, by: str) -> DataFrame:
+        """One text for each set whose node or key (by) is among the members, which have it once; picked by its hash. A set that
+        many documents have is one row of each task before it is dealt."""
+        wanted = own.where("n_shingles > 0").join(_small(members.select(by)), by, "left_semi").groupBy("key").agg(F.min("h").alias("h")).select("h").distinct()
         return rows.select("text", "h").join(_small(wanted), "h", "left_semi").select("text")
 
     pre = [f"p{o}" for o in range(orders)]
@@ -516,8 +517,7 @@ def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame
 
     # Clusters by the first order over all sets, then by each further one within those of the one before.
     cluster = clusters_of(rows.select("text").mapInArrow(lambda b: lists_of(sets_of(b, ("p0",)), "p0"), lists))
-    keys = own.where("n_shingles > 0").select("key", "node").distinct().join(cluster.select("node"), "node", "left_semi").select("key")
-    sets = materialize(texts_of(keys).mapInArrow(lambda b: sets_of(b, tuple(pre)), f"key binary, node long, n long, {fields}"), "prefixes")
+    sets = materialize(texts_of(cluster, "node").mapInArrow(lambda b: sets_of(b, tuple(pre)), f"key binary, node long, n long, {fields}"), "prefixes")
     for c in pre[1:]:
         cluster = clusters_of(sets.select("node", "n", c).join(_small(cluster), "node").mapInArrow(lambda b, c=c: lists_of(b, c), lists))
 
@@ -526,7 +526,7 @@ def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame
     near = _in_cells(sets.join(_small(cluster), "node"), ["n", *pre], F.col("n") * orders * (100 - percent) / 100 + 1, parts)
     passed = near.mapInArrow(lambda b: _solve(b, _candidates, counts(), orders, percent), "a binary, b binary")
     close = materialize(connected_components(passed, name="near").select(F.col("node").alias("key"), F.col("component").alias("cluster")), "near-cluster")
-    members = materialize(texts_of(close.select("key")).mapInArrow(lambda b: sets_of(b, ("tokens", *pre)), f"key binary, node long, n long, tokens binary, {fields}").drop("node").join(_small(close), "key"), "cluster-sets")
+    members = materialize(texts_of(close, "key").mapInArrow(lambda b: sets_of(b, ("tokens", *pre)), f"key binary, node long, n long, tokens binary, {fields}").drop("node").join(_small(close), "key"), "cluster-sets")
     dealt = _in_cells(members, ["n", "tokens", *pre], F.col("n"), parts)
     links = dealt.mapInArrow(lambda b: _solve(b, _verified, counts(), orders, percent), "a binary, b binary")
     linked = connected_components(links, name="links")

@@ -94,8 +94,10 @@ def rake_within(cells: DataFrame, targets: dict[str, DataFrame], aimed: float, *
         fits = filled(has.withColumn("_all", F.lit(1)), ["_all"], "share", "most", F.lit(1.0))
         now = now.join(fits.select(d, F.least("share", "most").alias(f"want_{d}")), d)
     now = materialize(now, "rake")
+    # Few cells, counted here, are raked in one task, so that no step shuffles; many by shuffles of their values.
+    few = now.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
     for _ in range(rounds):
-        step = now
+        step = now.coalesce(1) if few else now
         for d in DIMENSIONS:
             step = filled(step, [d], "raked", "most", F.col(f"want_{d}"))
         step = materialize(step, "rake")
@@ -155,23 +157,50 @@ def mix(docs: DataFrame, *, topic: Column | None = None, tokens: Column | None =
     return found.withColumn("mix_selected", draw < F.col("mix_probability")).select(*docs.columns, "mix_topic", "mix_tokens", "mix_probability", "mix_selected")
 
 
+def sampled(docs: DataFrame, **options) -> DataFrame:
+    """The documents that mix() selects, with their own columns as they are, also where these have mix()'s names."""
+    names = [f"{c}_own" for c in docs.columns]
+    own = docs.select("doc_id", "text", "source", "lang", *[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    return mix(own, **options).where("mix_selected").select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
+
+
 def sql(power: float, budget: float, rounds: int, seed: str) -> str:
     """The same over documents in DuckDB, its rounds written out."""
-    steps = ["c0 as (select source, lang, topic, tokens, tokens::double raked from cells)"]
+
+    def full(rows: str, group: str, weight: str, want: str, order: str) -> list[str]:
+        """Steps that give rows (weight, most) one factor in each group, so that they add up to want when cut at most."""
+        over = f"over (partition by {group} order by ratio, {order}" if group else f"over (order by ratio, {order}"
+        whole = f"over (partition by {group})" if group else "over ()"
+        return [
+            f"(select *, most / {weight} ratio from {rows} where {weight} > 0)",
+            f"(select *, ({want} - coalesce(sum(most) {over} rows between unbounded preceding and 1 preceding), 0)) / sum({weight}) {over} rows between current row and unbounded following) f from %s)",
+            f"(select * replace ({weight} * coalesce(max(case when f <= ratio then f end) {whole}, max(ratio) {whole}) as {weight}) from %s)",
+        ]
+
+    steps: list[tuple[str, str]] = []
+    for d in DIMENSIONS:
+        a, b, c = full(f"has_{d}", "", "share", "1.0", "v")
+        steps += [(f"has_{d}", f"(select {d} v, sum(most) most, pow(sum(tokens)::double, {power}) / sum(pow(sum(tokens)::double, {power})) over () share from sized group by 1)")]
+        steps += [(f"a_{d}", a), (f"b_{d}", b % f"a_{d}"), (f"c_{d}", c % f"b_{d}"), (f"want_{d}", f"(select v, least(share, most) want from c_{d})")]
+    wants = ", ".join(f"want_{d}.want want_{d}" for d in DIMENSIONS)
+    joins = " ".join(f"join want_{d} on want_{d}.v = {d}" for d in DIMENSIONS)
+    steps.append(("r0", f"(select source, lang, topic, tokens, most, tokens::double raked, {wants} from sized {joins})"))
+    last = "r0"
     for k in range(rounds):
         for j, d in enumerate(DIMENSIONS):
             n = 3 * k + j
-            steps.append(f"c{n + 1} as (select source, lang, topic, tokens, raked * (select share from want_{d} w where w.value = c{n}.{d}) / sum(raked) over (partition by {d}) raked from c{n})")
-    wants = [f"want_{d} as (select value, s / sum(s) over () share from (select {d} as value, pow(sum(tokens)::double, {power}) s from cells group by 1))" for d in DIMENSIONS]
+            a, b, c = full(last, d, "raked", f"want_{d}", "source, lang, topic")
+            steps += [(f"x{n}", a), (f"y{n}", b % f"x{n}"), (f"z{n}", c % f"y{n}"), (f"r{n + 1}", f"(select * exclude (ratio, f) from z{n})")]
+            last = f"r{n + 1}"
     return f"""
 with named as (select doc_id, coalesce(source, '') source, coalesce(lang, '') lang, coalesce(text, '') t,
     greatest(1, ceil(length(coalesce(text, '')) / 4))::bigint tokens from documents),
 docs as (select *, case when length(t) < 600 then 'brief' when (length(t) - length(replace(t, '|', ''))) * 40 > length(t) then 'table'
     when (length(t) - length(replace(t, chr(10), ''))) * 120 > length(t) then 'lines' when length(t) >= 8000 then 'long' else 'prose' end topic from named),
 cells as materialized (select source, lang, topic, sum(tokens)::bigint tokens from docs group by 1, 2, 3),
-{", ".join(wants)},
-{", ".join(s.replace(" as (", " as materialized (", 1) for s in steps)},
-p as (select source, lang, topic, least(1.0, {budget} * (select sum(tokens) from cells)::double * raked / tokens) probability from c{3 * rounds})
+sized as materialized (select *, tokens / ({budget} * sum(tokens) over ()) most from cells),
+{", ".join(f"{n} as materialized {q}" for n, q in steps)},
+p as (select source, lang, topic, least(1.0, {budget} * (select sum(tokens) from cells)::double * least(raked, most) / tokens) probability from {last})
 select doc_id, topic, tokens, round(probability, 6) probability,
   ('0x' || substr(md5('{seed}:' || coalesce(doc_id::varchar, md5(t))), 1, 8))::ubigint::double / 4294967296.0 < probability selected
 from docs join p using (source, lang, topic)"""

@@ -79,14 +79,15 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, **param
 
     labels needs doc_id and quality (other values than 0 and 1, and nulls, are left out; an id labelled both ways counts
     as its majority, ties as 1). The chosen ids, at most ``rows`` of them, are broadcast to fetch their texts; their
-    statistics are all that comes to the driver. Documents are joined by id, so repeated ids give repeated rows, of
-    which at most 2 ``rows`` are taken.
+    statistics are all that comes to the driver. Of documents with one id that text counts whose hash is the smallest, and
+    then the text itself.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    joined = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "label")
-    found = joined.mapInArrow(_features, "label int, x array<double>").limit(2 * rows).toArrow()
+    text = F.coalesce("text", F.lit(""))
+    joined = docs.select("doc_id", text.alias("text")).join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    found = joined.select("text", "label").mapInArrow(_features, "label int, x array<double>").toArrow()
     x = np.array(found.column("x").to_pylist(), float).reshape(-1, N_STATISTICS)
     y = found.column("label").to_numpy().astype(float)
     order = np.lexsort([*x.T, y])  # the same model whatever order the rows came in
@@ -113,8 +114,29 @@ def score(docs: DataFrame, model: Trees) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, rows: int = TRAIN_ROWS) -> DataFrame:
+    """The documents whose score is at least the threshold, with their own columns as they are, whatever their names."""
+    import pyarrow as pa
+
+    model = train(docs, labels, rows=rows)
+
+    def run(batches):
+        for batch in batches:
+            keep = [np.zeros(0, bool)]
+            for a in range(0, batch.num_rows, 512):
+                x = np.array([statistics(t or "") for t in batch.column("text").slice(a, 512).to_pylist()], float).reshape(-1, N_STATISTICS)
+                keep.append(model.probability(x) >= threshold)
+            yield batch.filter(pa.array(np.concatenate(keep), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, rows: int = TRAIN_ROWS) -> DataFrame:
-    """docs with quality_score, held_out and predicted (1 if the score is at least the threshold)."""
+    """docs with quality_score, held_out and predicted (1 if the score is at least the threshold).
+
+    Null texts count as empty and get a score; null ids aren't held out; repeated rows stay; columns of these three names are
+    replaced; empty tables give no rows. Without labels of both classes all scores are the smoothed share of ones.
+    """
     found = score(docs, train(docs, labels, rows=rows))
     return found.withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("quality_score") >= threshold).cast("int")})
 

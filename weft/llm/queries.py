@@ -45,12 +45,13 @@ def joined_spans(kinds: list[str], by_place: bool) -> Column:
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty ledger of its own, so that every distinct content is scanned in this run."""
-    from weft.llm.secrets import scan_secrets
+    from weft.llm.secrets import BASE, RULES, scan_secrets
 
     found = scan_secrets(table(spark, sf_dir, "documents"), new_path(spark, "secret-ledger"))
-    found = found.withColumn("spans", joined_spans(["assign", "access", "hex"], by_place=True))
-    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
-    return found.select("doc_id", *counts, F.sha2("spans", 256).alias("base_sha256"), "spans")
+    base = [r[0] for r in BASE]
+    found = found.withColumns({"spans": joined_spans([r[0] for r in RULES], by_place=True), "base": joined_spans(base, by_place=True)})
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,8 +110,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weft.llm.mixing import mix
 
-    # Not bounded, as the SQL cuts probabilities after raking.
-    found = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), **MIX, bounded=False)
+    found = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), **MIX)
     return found.select("doc_id", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"), F.round("mix_probability", 6).alias("probability"), F.col("mix_selected").alias("selected"))
 
 

@@ -6,9 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.content import unseen, with_digest
+from weft.llm.content import joined_back, unseen, with_digest
 from weft.llm.tokens import encoder, slices, tokenizer_digest
-from weft.sources.scratch import exists
+from weft.sources.scratch import exists, materialize
 
 CACHE = "digest binary, version string, n_tokens long"
 
@@ -41,5 +41,5 @@ def token_counts(docs: DataFrame, cache: str, *, tokenizer: str = "byte_bpe_50k.
 
     misses.mapInArrow(count, CACHE).write.mode("append").parquet(cache)
     counts = stored_counts(spark, cache, version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    own = contents.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return own.join(counts, "digest").select("doc_id", F.hex("digest").alias("digest"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    own = materialize(contents.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "contents")
+    return joined_back(own, counts).select("doc_id", F.hex("digest").alias("digest"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
