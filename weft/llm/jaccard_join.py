@@ -17,6 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.memory import trimmed
 from weft.operators.components import connected_components
 from weft.sources.scratch import materialize
 
@@ -445,7 +446,7 @@ def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame
     a document with no other one and no copies, or without shingles)."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    first = materialize(rows.mapInArrow(lambda b: _count_tables(b, n, orders), "doc_id long, h long, key binary, node long, n long, chunk int, data binary"), "shingle-counts")
+    first = materialize(rows.mapInArrow(lambda b: trimmed(_count_tables(b, n, orders)), "doc_id long, h long, key binary, node long, n long, chunk int, data binary"), "shingle-counts")
     chunks = first.where("chunk is not null").select("chunk", "data")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = np.zeros((orders * BUCKETS // CHUNK, CHUNK), np.uint32)
@@ -498,7 +499,7 @@ def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame
     def clusters_of(listed: DataFrame) -> DataFrame:
         """(node, cluster): what pairs with enough common prefix tokens connect, and what shares a token of a long list. Nodes are
         halves of keys; that two keys have one merely puts them into one cluster."""
-        dealt = listed.repartition(parts, "token").sortWithinPartitions("token", "node").mapInArrow(lambda b: _dealt_edges(b, percent), EDGES)
+        dealt = listed.repartition(parts, "token").sortWithinPartitions("token", "node").mapInArrow(lambda b: trimmed(_dealt_edges(b, percent)), EDGES)
         counted = dealt.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"), F.max("big").alias("big"))
         edges = counted.where(F.col("big") | _enough(percent, F.col("na"), F.col("nb"), F.col("shared"))).select("a", "b")
         found = connected_components(edges, name="clusters")
@@ -516,19 +517,19 @@ def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame
     lists = "token long, node long, n int"
 
     # Clusters by the first order over all sets, then by each further one within those of the one before.
-    cluster = clusters_of(rows.select("text").mapInArrow(lambda b: lists_of(sets_of(b, ("p0",)), "p0"), lists))
-    sets = materialize(texts_of(cluster, "node").mapInArrow(lambda b: sets_of(b, tuple(pre)), f"key binary, node long, n long, {fields}"), "prefixes")
+    cluster = clusters_of(rows.select("text").mapInArrow(lambda b: trimmed(lists_of(sets_of(b, ("p0",)), "p0")), lists))
+    sets = materialize(texts_of(cluster, "node").mapInArrow(lambda b: trimmed(sets_of(b, tuple(pre))), f"key binary, node long, n long, {fields}"), "prefixes")
     for c in pre[1:]:
-        cluster = clusters_of(sets.select("node", "n", c).join(_small(cluster), "node").mapInArrow(lambda b, c=c: lists_of(b, c), lists))
+        cluster = clusters_of(sets.select("node", "n", c).join(_small(cluster), "node").mapInArrow(lambda b, c=c: trimmed(lists_of(b, c)), lists))
 
     # Pairs that no order's prefixes rule out connect to smaller clusters, whose whole sets are read from texts again.
     counts = lambda: sent.value
     near = _in_cells(sets.join(_small(cluster), "node"), ["n", *pre], F.col("n") * orders * (100 - percent) / 100 + 1, parts)
-    passed = near.mapInArrow(lambda b: _solve(b, _candidates, counts(), orders, percent), "a binary, b binary")
+    passed = near.mapInArrow(lambda b: trimmed(_solve(b, _candidates, counts(), orders, percent)), "a binary, b binary")
     close = materialize(connected_components(passed, name="near").select(F.col("node").alias("key"), F.col("component").alias("cluster")), "near-cluster")
-    members = materialize(texts_of(close, "key").mapInArrow(lambda b: sets_of(b, ("tokens", *pre)), f"key binary, node long, n long, tokens binary, {fields}").drop("node").join(_small(close), "key"), "cluster-sets")
+    members = materialize(texts_of(close, "key").mapInArrow(lambda b: trimmed(sets_of(b, ("tokens", *pre))), f"key binary, node long, n long, tokens binary, {fields}").drop("node").join(_small(close), "key"), "cluster-sets")
     dealt = _in_cells(members, ["n", "tokens", *pre], F.col("n"), parts)
-    links = dealt.mapInArrow(lambda b: _solve(b, _verified, counts(), orders, percent), "a binary, b binary")
+    links = dealt.mapInArrow(lambda b: trimmed(_solve(b, _verified, counts(), orders, percent)), "a binary, b binary")
     linked = connected_components(links, name="links")
 
     # Back to documents: classes of equal sets first, then the classes that links connect. What has neither a copy nor a link

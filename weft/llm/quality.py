@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.gbt import Trees, fit
+from weft.llm.memory import trimmed
 
 #: Labelled rows to learn from: those with the smallest hashes of their ids. A row's statistics are about 30 numbers.
 TRAIN_ROWS = 8_000
@@ -128,7 +129,7 @@ def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, rows
                 keep.append(model.probability(x) >= threshold)
             yield batch.filter(pa.array(np.concatenate(keep), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda b: trimmed(run(b)), docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, rows: int = TRAIN_ROWS) -> DataFrame:

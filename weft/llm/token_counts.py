@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.content import joined_back, unseen, with_digest
+from weft.llm.memory import trimmed
 from weft.llm.tokens import encoder, slices, tokenizer_digest
 from weft.sources.scratch import exists, materialize
 
@@ -39,7 +40,7 @@ def token_counts(docs: DataFrame, cache: str, *, tokenizer: str = "byte_bpe_50k.
             n = np.concatenate(n) if n else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], ["digest", "version", "n_tokens"])
 
-    misses.mapInArrow(count, CACHE).write.mode("append").parquet(cache)
+    misses.mapInArrow(lambda b: trimmed(count(b)), CACHE).write.mode("append").parquet(cache)
     counts = stored_counts(spark, cache, version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     own = materialize(contents.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "contents")
     return joined_back(own, counts).select("doc_id", F.hex("digest").alias("digest"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

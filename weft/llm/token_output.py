@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.llm.memory import trimmed
 from weft.llm.tokens import encoder, slices
 from weft.sources.scratch import materialize, new_path
 
@@ -174,7 +175,7 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer: str = "byte_bpe_50k
         if held:
             yield flush(held)
 
-    return materialize(ordered.select("doc_id", "text").mapInArrow(encode, MANIFEST), "token-manifest")
+    return materialize(ordered.select("doc_id", "text").mapInArrow(lambda b: trimmed(encode(b)), MANIFEST), "token-manifest")
 
 
 def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:

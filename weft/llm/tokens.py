@@ -26,8 +26,8 @@ _WORD, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,!?$%&*#|;:]*"
 PARTS = rf"\A(?P<a>{_WORD})(?P<rest>{_MARKS}(?:\n{_WORD}{_MARKS})?)\z"
 REST = rf"\A(?P<b>{_MARKS})(?:(?P<c>\n)(?P<d>{_WORD})(?P<e>{_MARKS}))?\z"
 #: Pieces remembered by each worker and their characters; the cache starts anew beyond either. About 150 bytes each.
-CACHE_ENTRIES = 400_000
-CACHE_CHARS = 16_000_000
+CACHE_ENTRIES = 300_000
+CACHE_CHARS = 12_000_000
 #: Bytes of texts that are cut up at once; one longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 
