@@ -150,6 +150,22 @@ class Windows:
                 out.setdefault((row, int(keys[i]) * PASSAGE_HALF + base), set()).update(places)
         return out
 
+    def likely(self, raw: np.ndarray, found: dict[tuple[int, int], set[int]]) -> dict[tuple[int, int], list[int]]:
+        """Of the places from which a stretch has enough hits, in order, those of which the stretch is within its edits of what
+        lies in its band; many are held against the text at once."""
+        keys = [(key, p) for key, places in found.items() for p in sorted(places)]
+        out: dict[tuple[int, int], list[int]] = {}
+        width = PASSAGE + 2 * PASSAGE_HALF + 2 * PASSAGE_EDITS
+        padded = np.concatenate([np.zeros(width, np.uint8), raw, np.zeros(width, np.uint8)])
+        for a in range(0, len(keys), 1024):
+            part = keys[a : a + 1024]
+            patterns = np.stack([np.frombuffer(self.whole[row][1], np.uint8, PASSAGE, p) for (row, _), p in part])
+            starts = np.array([low + p - PASSAGE_EDITS for (_, low), p in part]).clip(-width, len(raw)) + width
+            regions = padded[starts[:, None] + np.arange(width)]
+            for k in np.flatnonzero(_within(patterns, regions, PASSAGE_EDITS)):
+                out.setdefault(part[k][0], []).append(part[k][1])
+        return out
+
     def find(self, raw: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item, start, end, edits) of verified occurrences: the best of each window, where an item has none the first and
         last stretch of each band and one without edits or in the middle, and the first place of each short item."""
@@ -162,9 +178,10 @@ class Windows:
             if got and (w not in best or got[2] < best[w][2]):
                 best[w] = got
         out = [(self.item[w], *x) for w, x in best.items()]
-        for (row, low), places in self.stretches(hit, entry, {int(self.row[w]) for w in best}).items() if len(hit) else []:
+        found = self.stretches(hit, entry, {int(self.row[w]) for w in best}) if len(hit) else {}
+        whole = raw.tobytes()
+        for (row, low), places in self.likely(raw, found).items():
             item, text = self.whole[row]
-            whole, places = raw.tobytes(), sorted(places)
             best_first = [p for p in places if text[p : p + PASSAGE] in whole][:1] or places[len(places) // 2 :]
             for way in (places, places[::-1], best_first):
                 tried = (occurrence(text[p : p + PASSAGE], raw, low + p, low + p + 2 * PASSAGE_HALF - 1, PASSAGE_EDITS) for p in way)
@@ -182,6 +199,29 @@ class Windows:
         return out
 
 
+def _within(patterns: np.ndarray, regions: np.ndarray, edits: int) -> np.ndarray:
+    """Whether each pattern is within so many edits of any part of its region, by whole tables of all pairs at once; pairs that
+    have more than that many on the way leave."""
+    fine, left = np.zeros(len(patterns), bool), np.arange(len(patterns))
+    step = np.arange(regions.shape[1] + 1, dtype=np.int16)
+    row = np.zeros((len(patterns), len(step)), np.int16)
+    for i in range(patterns.shape[1]):
+        new = np.empty_like(row)
+        new[:, 0] = i + 1
+        np.minimum(row[:, :-1] + (regions != patterns[:, i : i + 1]), row[:, 1:] + 1, out=new[:, 1:])
+        new -= step
+        np.minimum.accumulate(new, 1, out=new)
+        row = new + step
+        if i % 8 == 7:
+            alive = row.min(1) <= edits
+            if not alive.all():
+                patterns, regions, row, left = patterns[alive], regions[alive], row[alive], left[alive]
+                if not len(left):
+                    return fine
+    fine[left[row.min(1) <= edits]] = True
+    return fine
+
+
 def occurrence(text: bytes, raw: np.ndarray, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
     """(start, end, edits) of the text's best place in raw on diagonals low .. high, if within the edits."""
     a, b = max(0, low - edits), min(len(raw), high + len(text) + edits)
