@@ -275,6 +275,8 @@ def resolve_candidates(candidates: DataFrame, signals: DataFrame, decisions: Dat
     j = placed.join(chosen, ["part", "id"], "left")
     alone = F.col("part").isNull() | (F.col("_n") < 2)
     kept = ~alone & ~F.coalesce("review", F.lit(False))
+    # What was decided on a part too large to be reviewed, or on a single row, doesn't choose a code or type either.
+    j = j.withColumns({c: F.when(kept, F.col(c)) for c in ("code_from", "type_from")})
     verdict = F.when(alone, "singleton").when(~kept | F.col("decision").isNull(), "needs_review").when(F.col("decision") == "merge", "merged").when(F.col("decision") == "keep_separate", "singleton").otherwise(F.col("decision"))
     own = F.concat_ws(":", F.lit("one"), F.col("id").cast("string"))
     group = F.when(verdict == "singleton", own).when(kept & F.col("decision").isNotNull(), F.concat_ws(":", F.lit("decided"), "part", F.col("decision_group").cast("string"))).otherwise(F.concat_ws(":", F.lit("review"), "part"))
