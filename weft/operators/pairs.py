@@ -57,26 +57,51 @@ def admissible(pairs: DataFrame, policy: DataFrame) -> DataFrame:
     return joined.withColumn("decisions", decisions).drop("_forth", "_back", "_relates")
 
 
+#: Items of a bucket that one task holds beside the other items of the bucket.
+BLOCK = 1_024
+
+
+def _all_pairs(items: DataFrame, item: str, keys: Column) -> DataFrame:
+    """(item_a, item_b) of every pair that shares a bucket, made where its items meet; pairs are neither sorted nor gathered.
+
+    A bucket's items are cut into blocks by hash; an item looks through each block of its buckets for the greater ones. A
+    pair that shares several buckets is made in the smallest of them, by itself: rows carry all their buckets.
+    """
+    rows = items.select(F.col(item).alias("item"), F.explode(keys).alias("bucket")).where("item is not null and bucket is not null")
+    own = rows.groupBy("item").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
+    each = own.select("item", "buckets", F.explode("buckets").alias("bucket"))
+    blocks = each.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_k"))
+    placed = each.join(small(blocks), "bucket")
+    kept = placed.select("bucket", F.pmod(F.xxhash64("item"), "_k").cast("int").alias("block"), F.col("item").alias("item_b"), F.col("buckets").alias("_b"))
+    looked = placed.select("bucket", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("block"), F.col("item").alias("item_a"), F.col("buckets").alias("_a"))
+    met = looked.join(kept.hint("shuffle_hash"), ["bucket", "block"]).where("item_a < item_b")
+    return met.where(F.array_min(F.array_intersect("_a", "_b")) == F.col("bucket")).select("item_a", "item_b")
+
+
 def bucket_pairs(items: DataFrame, item: str, buckets: dict[str, Column], *, most: int | None) -> DataFrame:
     """Pairs that share a bucket of any signal, at most ``most`` of each signal or all: item_a, item_b, signal.
 
     Within a bucket pairs are taken by rotation distance and then index; buckets take turns. A bucket of n items yields
     its pairs up to the budget only: distance d of item i pairs it with item i + d, for as many d as the budget needs.
+    Without a budget there is no order to keep, and pairs are written as they are met.
     """
     out = None
-    for k, (signal, keys) in enumerate(buckets.items()):
-        rows = items.select(F.col(item).alias("item"), F.explode(keys).alias("bucket")).distinct()
-        w = Window.partitionBy("bucket")
-        rows = rows.withColumn("i", F.row_number().over(w.orderBy("item")) - 1).withColumn("n", F.count("*").over(w)).where("n > 1")
-        half = F.floor(F.col("n") / 2)
-        reach = half if most is None else F.least(half, F.ceil(F.lit(most) / F.col("n")) + 1)
-        turned = rows.withColumn("d", F.explode(F.sequence(F.lit(1).cast("long"), reach)))
-        pair = turned.withColumn("j", (F.col("i") + F.col("d")) % F.col("n")).where((F.col("d") * 2 != F.col("n")) | (F.col("i") < F.col("j")))
-        other = rows.select("bucket", F.col("i").alias("j"), F.col("item").alias("other"))
-        pair = pair.join(other, ["bucket", "j"])
-        pair = pair.withColumn("turn", F.row_number().over(w.orderBy("d", "i")))
-        ordered = pair.select(F.least("item", "other").alias("item_a"), F.greatest("item", "other").alias("item_b"), "turn", "bucket").groupBy("item_a", "item_b").agg(F.min(F.struct("turn", "bucket")).alias("o"))
-        part = (ordered if most is None else ordered.orderBy("o", "item_a", "item_b").limit(most)).select("item_a", "item_b", F.lit(signal).alias("signal"))
+    for signal, keys in buckets.items():
+        if most is None:
+            part = _all_pairs(items, item, keys)
+        else:
+            rows = items.select(F.col(item).alias("item"), F.explode(keys).alias("bucket")).distinct()
+            w = Window.partitionBy("bucket")
+            rows = rows.withColumn("i", F.row_number().over(w.orderBy("item")) - 1).withColumn("n", F.count("*").over(w)).where("n > 1")
+            reach = F.least(F.floor(F.col("n") / 2), F.ceil(F.lit(most) / F.col("n")) + 1)
+            turned = rows.withColumn("d", F.explode(F.sequence(F.lit(1).cast("long"), reach)))
+            pair = turned.withColumn("j", (F.col("i") + F.col("d")) % F.col("n")).where((F.col("d") * 2 != F.col("n")) | (F.col("i") < F.col("j")))
+            other = rows.select("bucket", F.col("i").alias("j"), F.col("item").alias("other"))
+            pair = pair.join(other, ["bucket", "j"])
+            pair = pair.withColumn("turn", F.row_number().over(w.orderBy("d", "i")))
+            ordered = pair.select(F.least("item", "other").alias("item_a"), F.greatest("item", "other").alias("item_b"), "turn", "bucket").groupBy("item_a", "item_b").agg(F.min(F.struct("turn", "bucket")).alias("o"))
+            part = ordered.orderBy("o", "item_a", "item_b").limit(most).select("item_a", "item_b")
+        part = part.withColumn("signal", F.lit(signal))
         out = part if out is None else out.unionByName(part)
     return out
 
