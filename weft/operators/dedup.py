@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.functions.text import fold_affixes, grams, jaccard, overlap, skill_key, words
+from weft.functions.text import fold_affixes, grams, jaccard, skill_key, words
 from weft.operators.components import connected_components
 from weft.sources.scratch import materialize
 
@@ -78,15 +78,136 @@ def _met(sets: DataFrame, probe: Column, index: Column) -> DataFrame:
     return looked.alias("a").join(kept.alias("b"), ["scope", "t"]).where("a.text <> b.text").select("scope", F.least("a.text", "b.text").alias("text_a"), F.greatest("a.text", "b.text").alias("text_b")).distinct()
 
 
+#: Elements and sets of a block that a cell of similar_pairs() holds two of (some 40 bytes an element), and counts that are added up at once.
+BLOCK_ELEMENTS = 4_000_000
+BLOCK_SETS = 65_536
+COUNTS = 1 << 21
+
+
+def _packed(values):
+    """A sorted set of 64-bit values as bytes: differences, by planes of their bytes, of which small ones leave most empty."""
+    import zlib
+
+    import numpy as np
+
+    v = np.unique(values)
+    return zlib.compress(np.ascontiguousarray(np.diff(v, prepend=v.dtype.type(0)).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(data):
+    import zlib
+
+    import numpy as np
+
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel(), dtype=np.int64)
+
+
+def _pack_sets(batches):
+    """Rows (item, n, data) of rows (item, elements)."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        e = batch.column(1)
+        values, ends = e.values.to_numpy(zero_copy_only=False), e.offsets.to_numpy()
+        data = [_packed(values[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends), pa.int64()), pa.array(data, pa.binary())], ["item", "n", "data"])
+
+
+def _overlaps(left: list, right: list, share: float, same: bool):
+    """(place in left, place in right, common, total) of the pairs of two lists of sets that have the share in common.
+
+    The elements of some left sets at a time are looked up in an inverted index of the right ones, and what is found is counted.
+    """
+    import numpy as np
+
+    sizes, others = np.array([len(x) for x in left]), np.array([len(x) for x in right])
+    values = np.concatenate(right)
+    order = np.argsort(values, kind="stable")
+    owner = np.repeat(np.arange(len(right), dtype=np.int32), others)[order]
+    values = values[order]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    values, ends = values[first], np.append(first, len(owner))
+    step = max(1, COUNTS // len(right))
+    for a in range(0, len(left), step):
+        own = sizes[a : a + step]
+        x = np.concatenate(left[a : a + step])
+        at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+        hit = np.flatnonzero(values[at] == x)
+        lo, row = ends[at[hit]], np.repeat(np.arange(len(own)), own)[hit]
+        n = ends[at[hit] + 1] - lo
+        upto = np.cumsum(n)
+        count = np.zeros(len(own) * len(right), np.int64)
+        b = 0
+        while b < len(n):
+            e = max(b + 1, int(np.searchsorted(upto, (upto[b - 1] if b else 0) + COUNTS, side="right")))
+            m = n[b:e]
+            inside = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+            count += np.bincount(np.repeat(row[b:e] * len(right), m) + owner[np.repeat(lo[b:e], m) + inside], minlength=len(count))
+            b = e
+        i, j = np.divmod(np.flatnonzero(count), len(right))
+        common = count[i * len(right) + j]
+        total = own[i] + others[j] - common
+        fine = common >= share * total - 1e-9
+        if same:
+            fine &= i + a < j
+        yield i[fine] + a, j[fine], common[fine], total[fine]
+
+
+def _solve_cells(batches, share: float):
+    """Pairs of each cell of two blocks, or of one; a task gets whole cells, sorted, and holds one at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    here, held = None, []
+
+    def solved():
+        block = np.concatenate([np.asarray(b.column("block")) for b in held])
+        item = pa.concat_arrays([b.column("item") for b in held])
+        sets = [_unpacked(d) for b in held for d in b.column("data").to_pylist()]
+        i, j = here
+        rows, others = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        if not len(rows) or not len(others):
+            return
+        for a, b, common, total in _overlaps([sets[k] for k in rows], [sets[k] for k in others], share, i == j):
+            yield pa.RecordBatch.from_arrays([item.take(pa.array(rows[a])), item.take(pa.array(others[b])), pa.array(common, pa.int64()), pa.array(total, pa.int64())], ["a", "b", "n_common", "n_total"])
+
+    for batch in batches:
+        i, j = np.asarray(batch.column("i")), np.asarray(batch.column("j"))
+        cuts = [0, *(np.flatnonzero((i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1).tolist(), len(i)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a < b:
+                if here != (i[a], j[a]):
+                    if held:
+                        yield from solved()
+                    here, held = (i[a], j[a]), []
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield from solved()
+
+
 def similar_pairs(df: DataFrame, item: str, elements: str, share: float) -> DataFrame:
     """(item_a, item_b, n_common, n_total) of all pairs of items whose sets (arrays without repeats) have at least this share
-    of their union in common. Items are looked up by their rarest elements in an inverted index; empty sets pair with nothing."""
-    sets = df.select(F.lit(0).alias("scope"), F.col(item).alias("text"), F.explode(elements).alias("t"))
-    need = F.ceil(F.lit(share) * F.col("size") - 1e-9)
-    whole = lambda n: df.select(F.col(item).alias(f"text_{n}"), F.col(elements).alias(n))
-    j = _met(sets, need, need).join(whole("a"), "text_a").join(whole("b"), "text_b")
-    both = overlap(F.col("a"), F.col("b"))
-    return j.select(F.col("text_a").alias("item_a"), F.col("text_b").alias("item_b"), both["common"].alias("n_common"), both["total"].alias("n_total")).where(F.col("n_common") >= F.lit(share) * F.col("n_total") - 1e-9)
+    of their union in common. Empty sets pair with nothing; nulls in a set don't count.
+
+    A low share rules out hardly any pair by a prefix, so common elements are counted where two blocks of sets meet, and only
+    the pairs that have enough are written. Sets travel packed, once for each block; with e elements and s sets there are
+    max(e / 4,000,000, s / 65,536) blocks. Whole numbers are compared as they are, other elements by 64-bit hashes.
+    """
+    kind = df.schema[elements].dataType.elementType.simpleString()
+    held = F.filter(elements, lambda x: x.isNotNull())
+    values = held.cast("array<bigint>") if kind in ("tinyint", "smallint", "int", "bigint") else F.transform(held, lambda x: F.xxhash64(x))
+    name = df.schema[item].dataType.simpleString()
+    sets = df.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), F.coalesce(values, F.array().cast("array<bigint>")).alias("e")).where("size(e) > 0")
+    packed = materialize(sets.mapInArrow(_pack_sets, f"item {name}, n long, data binary"), "sets")
+    n, rows = packed.agg(F.sum("n"), F.count("*")).first()
+    blocks = max(1, -(-(n or 0) // BLOCK_ELEMENTS), -(-rows // BLOCK_SETS))
+    placed = packed.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
+    cells = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
+    dealt = placed.withColumn("cell", F.explode(cells)).select("cell.i", "cell.j", "block", "item", "data").repartition("i", "j").sortWithinPartitions("i", "j")
+    met = dealt.mapInArrow(lambda b: _solve_cells(b, share), f"a {name}, b {name}, n_common long, n_total long").where("a <> b")
+    return met.select(F.least("a", "b").alias("item_a"), F.greatest("a", "b").alias("item_b"), "n_common", "n_total")
 
 
 def blocked_pairs(df: DataFrame, scope: str, text: str, *, threshold: float = 0.55, trigram: float = 0.6, stop_share: float = 0.15, tags: str | None = None, tag_threshold: float = 0.5, parents: str | None = None, neighbourhood: int = 12, pack: dict | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ def contamination_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shared_components_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers by the parts they ship: all pairs that have a tenth of their parts or more in common."""
-    s = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").distinct().groupBy("l_suppkey").agg(F.collect_list("l_partkey").alias("parts"))
+    s = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey").repartition("l_suppkey").distinct().groupBy("l_suppkey").agg(F.collect_list("l_partkey").alias("parts"))
     both = dedup.similar_pairs(s, "l_suppkey", "parts", 0.1)
     return both.select("item_a", "item_b", "n_common", "n_total", F.round(F.col("n_common") / F.col("n_total"), 9).alias("jaccard"))
 
