@@ -2,7 +2,8 @@
 
 A document's set holds 64-bit hashes of its word n-grams. Sets of Jaccard similarity t or more share a token within
 their first n - ceil(t n) + 1 tokens, whatever order all tokens are put in. Each order puts rare tokens first: by the
-load of the token's bucket in a count table that all documents fill (a fixed 2^20 counters), ties by another hash. The
+load of the token's bucket in a count table that all documents fill (2^20 to 2^24 counters by the size of the texts, so
+that rare tokens are told from frequent ones in large inputs too), ties by another hash. The
 orders differ in their bucket and tie hashes. Documents that are connected through shared prefix tokens of the first
 order, and within that through those of the second, and so on, form a cluster; links lie within clusters. Clusters
 are solved each by itself: candidate pairs share a prefix token in every order, and are verified on whole sets.
@@ -21,10 +22,13 @@ from weft.llm.memory import trimmed
 from weft.operators.components import connected_components
 from weft.sources.scratch import materialize
 
-#: Counters of an order's count table: 4 MB as it is sent to executors, whatever the input.
-BUCKET_BITS = 20
-BUCKETS = 1 << BUCKET_BITS
+#: Counters of an order's count table, as powers of 2, and bytes of text that one of them is for: 1 to 16 MB as sent to executors.
+BUCKET_BITS = (20, 24)
+BUCKETS = 1 << BUCKET_BITS[0]
+BUCKET_TEXT = 64
 CHUNK = 1 << 14
+#: Documents that a task counts before its counters, of 16 bits, are handed on.
+COUNTED = 65_535
 #: Tokens and sets of a block; a cell holds two blocks at most. Each token takes some 60 bytes while elements are matched.
 CELL_TOKENS = 400_000
 CELL_SETS = 1_024
@@ -34,7 +38,7 @@ COLUMNS = 1_024
 #: Rows of (key, cluster), ids or hashes that are broadcast, under 50 bytes each; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Lists of one prefix token up to this length give all their pairs; the sets of longer ones are solved as one cluster.
-LIST = 12
+LIST = 24
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -93,13 +97,25 @@ def key_node(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def bucket(s: np.ndarray, order: int) -> np.ndarray:
-    return (mixed(s, 2 + order) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def bucket(s: np.ndarray, order: int, buckets: int) -> np.ndarray:
+    """Places of tokens in a count table of so many counters, a power of 2."""
+    return (mixed(s, 2 + order) >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+
+
+def bucket_count(n_bytes: int) -> int:
+    """Counters of each order's table for texts of so many bytes."""
+    return 1 << min(max((n_bytes // BUCKET_TEXT).bit_length(), BUCKET_BITS[0]), BUCKET_BITS[1])
+
+
+def loads(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes in the same order: exact up to 127, then by steps of an eighth of a power of 2."""
+    c = np.maximum(counts, 1).astype(np.float64)
+    return np.where(counts < 128, counts, np.minimum(128 + 8 * np.log2(c / 128), 255)).astype(np.uint8)
 
 
 def rank_keys(s: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
     """Places of tokens in one order as integers: load of the bucket, then a hash; the token itself settles ties."""
-    load = np.minimum(counts[bucket(s, order)], (1 << 24) - 1).astype(np.uint64)
+    load = np.minimum(counts[bucket(s, order, len(counts))].astype(np.uint64), np.uint64((1 << 24) - 1))
     return (load << np.uint64(40)) | (mixed(s, 3 - order) >> np.uint64(24))
 
 
@@ -110,32 +126,41 @@ def prefix(s: np.ndarray, counts: np.ndarray, order: int, percent: int) -> np.nd
     return s[np.lexsort((s, rank_keys(s, counts, order)))[:keep]]
 
 
-def _count_tables(batches, n: int, orders: int):
-    """Bucket counts of a task's texts, a row for each chunk, and one row for each document."""
+def _count_tables(batches, n: int, orders: int, buckets: int):
+    """Bucket counts of a task's texts, a row for each chunk, and one row for each document. A counter grows by one at most for a
+    document and order if only different buckets are counted; what is lost of tokens that share one is noise of the order."""
     import zlib
 
     import pyarrow as pa
 
-    counts = np.zeros((orders, BUCKETS), np.uint32)
+    counts, counted = np.zeros((orders, buckets), np.uint16), 0
+
+    def packed():
+        parts = counts.reshape(-1, CHUNK)
+        some = np.flatnonzero(parts.any(1))
+        data = [zlib.compress(parts[i].tobytes(), 1) for i in some]
+        m = len(data)
+        return pa.RecordBatch.from_pydict({"doc_id": pa.nulls(m, pa.int64()), "h": pa.nulls(m, pa.int64()), "key": pa.nulls(m, pa.binary()), "node": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()), "chunk": pa.array(some, pa.int32()), "data": pa.array(data, pa.binary())})
+
     for batch in batches:
         keys, sizes = [], []
         for t in batch.column("text").to_pylist():
             s = shingles((t or "").encode("utf-8", "surrogatepass"), n)
             keys.append(set_key(s))
             sizes.append(len(s))
+            if counted == COUNTED:
+                yield packed()
+                counts[:], counted = 0, 0
+            counted += 1
             for o in range(orders):
-                np.add.at(counts[o], bucket(s, o), 1)
+                counts[o][bucket(s, o, buckets)] += np.uint16(1)
         m = len(keys)
         yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "h": batch.column("h"), "key": pa.array(keys, pa.binary()), "node": pa.array(map(key_node, keys), pa.int64()), "n": pa.array(sizes, pa.int64()), "chunk": pa.nulls(m, pa.int32()), "data": pa.nulls(m, pa.binary())})
-    parts = counts.reshape(-1, CHUNK)
-    some = np.flatnonzero(parts.any(1))
-    data = [zlib.compress(parts[i].tobytes(), 1) for i in some]
-    m = len(data)
-    yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(m, pa.int64()), "h": pa.nulls(m, pa.int64()), "key": pa.nulls(m, pa.binary()), "node": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()), "chunk": pa.array(some, pa.int32()), "data": pa.array(data, pa.binary())})
+    yield packed()
 
 
 def _sum_chunks(batches):
-    """Sums of the bucket counts of each chunk, within a task that gets whole chunks."""
+    """Loads by the sums of the bucket counts of each chunk, within a task that gets whole chunks."""
     import zlib
 
     import pyarrow as pa
@@ -143,9 +168,9 @@ def _sum_chunks(batches):
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            got = np.frombuffer(zlib.decompress(data), np.uint32)
+            got = np.frombuffer(zlib.decompress(data), np.uint16)
             sums[chunk] = sums[chunk] + got if chunk in sums else got.astype(np.uint64)
-    packed = [zlib.compress(np.minimum(v, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1) for v in sums.values()]
+    packed = [zlib.compress(loads(v).tobytes(), 1) for v in sums.values()]
     yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int32()), "data": pa.array(packed, pa.binary())})
 
 
@@ -446,15 +471,16 @@ def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame
     a document with no other one and no copies, or without shingles)."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    first = materialize(rows.mapInArrow(lambda b: trimmed(_count_tables(b, n, orders)), "doc_id long, h long, key binary, node long, n long, chunk int, data binary"), "shingle-counts")
+    buckets = bucket_count(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    first = materialize(rows.mapInArrow(lambda b: trimmed(_count_tables(b, n, orders, buckets)), "doc_id long, h long, key binary, node long, n long, chunk int, data binary"), "shingle-counts")
     chunks = first.where("chunk is not null").select("chunk", "data")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = np.zeros((orders * BUCKETS // CHUNK, CHUNK), np.uint32)
+    table = np.zeros((orders * buckets // CHUNK, CHUNK), np.uint8)
     import zlib
 
     for r in chunks.repartition(parts, "chunk").mapInArrow(_sum_chunks, "chunk int, data binary").toLocalIterator():
-        table[r.chunk] = np.frombuffer(zlib.decompress(r.data), np.uint32)
-    sent = spark.sparkContext.broadcast(table.reshape(orders, BUCKETS))
+        table[r.chunk] = np.frombuffer(zlib.decompress(r.data), np.uint8)
+    sent = spark.sparkContext.broadcast(table.reshape(orders, buckets))
     del table
 
     def sets_of(batches, parts_of: tuple[str, ...]):
