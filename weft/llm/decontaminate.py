@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.memory import small_batches, trimmed
+
 Q = 10
 #: Window length and step in bytes of the normal form.
 WINDOW, STEP = 160, 80
@@ -327,6 +329,7 @@ def _leaks(docs: DataFrame, windows: Windows):
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents in which a benchmark passage occurs; every column stays, and nothing is shuffled."""
     spark = docs.sparkSession
+    small_batches(spark)
     for windows in _groups(benchmark):
         sent = spark.sparkContext.broadcast(windows)
 
@@ -338,5 +341,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 clean = [not (t := x.as_py()) or not w.find(normal(t)[0]) for x in batch.column("text")]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lambda b, run=run: trimmed(run(b)), docs.schema)
     return docs

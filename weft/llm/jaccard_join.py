@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.memory import trimmed
+from weft.llm.memory import small_batches, trimmed
 from weft.operators.components import connected_components
 from weft.sources.scratch import materialize
 
@@ -470,6 +470,7 @@ def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame
     """As jaccard_components(), with the text's hash h and component, a name of the component that no other one has (null:
     a document with no other one and no copies, or without shingles)."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     buckets = bucket_count(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     first = materialize(rows.mapInArrow(lambda b: trimmed(_count_tables(b, n, orders, buckets)), "doc_id long, h long, key binary, node long, n long, chunk int, data binary"), "shingle-counts")

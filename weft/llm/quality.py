@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.gbt import Trees, fit
-from weft.llm.memory import trimmed
+from weft.llm.memory import small_batches, trimmed
 
 #: Labelled rows to learn from: those with the smallest hashes of their ids. A row's statistics are about 30 numbers.
 TRAIN_ROWS = 8_000
@@ -119,6 +119,7 @@ def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, rows
     """The documents whose score is at least the threshold, with their own columns as they are, whatever their names."""
     import pyarrow as pa
 
+    small_batches(docs.sparkSession)
     model = train(docs, labels, rows=rows)
 
     def run(batches):

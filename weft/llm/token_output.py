@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.llm.memory import trimmed
+from weft.llm.memory import small_batches, trimmed
 from weft.llm.tokens import encoder, slices
 from weft.sources.scratch import materialize, new_path
 
@@ -130,6 +130,7 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer: str = "byte_bpe_50k
     manifest lists those of the attempt that was committed. Empty tables give an empty manifest.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
