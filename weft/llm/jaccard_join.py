@@ -14,6 +14,8 @@ is cut into blocks, and each pair of blocks is a cell. Every pair that passes th
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,8 @@ BUCKET_BITS = (20, 24)
 BUCKETS = 1 << BUCKET_BITS[0]
 BUCKET_TEXT = 64
 CHUNK = 1 << 14
+#: Chunks of counters that are packed at once.
+PACKED = 256
 #: Documents that a task counts before its counters, of 16 bits, are handed on.
 COUNTED = 65_535
 #: Tokens and sets of a block; a cell holds two blocks at most. Each token takes some 60 bytes while elements are matched.
@@ -126,11 +130,32 @@ def prefix(s: np.ndarray, counts: np.ndarray, order: int, percent: int) -> np.nd
     return s[np.lexsort((s, rank_keys(s, counts, order)))[:keep]]
 
 
-def _count_tables(batches, n: int, orders: int, buckets: int):
+def plain(c: np.ndarray) -> bytes:
+    """A chunk of 16-bit counts as they are, compressed."""
+    return zlib.compress(c.tobytes(), 1)
+
+
+def squeezed(c: np.ndarray) -> bytes:
+    """As plain(), in about half the bytes where few counters are used: which ones are, and their counts less one, low bytes first."""
+    some = c > 0
+    v = c[some] - np.uint16(1)
+    bits = zlib.compressobj(1, strategy=zlib.Z_HUFFMAN_ONLY)
+    return bits.compress(np.packbits(some).tobytes()) + bits.flush() + zlib.compress((v & 255).astype(np.uint8).tobytes() + (v >> 8).astype(np.uint8).tobytes(), 1)
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    """The counts that squeezed() packed."""
+    first = zlib.decompressobj()
+    some = np.unpackbits(np.frombuffer(first.decompress(data), np.uint8)).astype(bool)
+    low, high = np.frombuffer(zlib.decompress(first.unused_data), np.uint8).reshape(2, -1).astype(np.uint16)
+    c = np.zeros(len(some), np.uint16)
+    c[some] = low + (high << 8) + np.uint16(1)
+    return c
+
+
+def _count_tables(batches, n: int, orders: int, buckets: int, pack=plain):
     """Bucket counts of a task's texts, a row for each chunk, and one row for each document. A counter grows by one at most for a
     document and order if only different buckets are counted; what is lost of tokens that share one is noise of the order."""
-    import zlib
-
     import pyarrow as pa
 
     counts, counted = np.zeros((orders, buckets), np.uint16), 0
@@ -138,7 +163,10 @@ def _count_tables(batches, n: int, orders: int, buckets: int):
     def packed():
         parts = counts.reshape(-1, CHUNK)
         some = np.flatnonzero(parts.any(1))
-        data = [zlib.compress(parts[i].tobytes(), 1) for i in some]
+        for a in range(0, len(some), PACKED):
+            yield rows(some[a : a + PACKED], [pack(parts[i]) for i in some[a : a + PACKED]])
+
+    def rows(some, data):
         m = len(data)
         return pa.RecordBatch.from_pydict({"doc_id": pa.nulls(m, pa.int64()), "h": pa.nulls(m, pa.int64()), "key": pa.nulls(m, pa.binary()), "node": pa.nulls(m, pa.int64()), "n": pa.nulls(m, pa.int64()), "chunk": pa.array(some, pa.int32()), "data": pa.array(data, pa.binary())})
 
@@ -149,26 +177,24 @@ def _count_tables(batches, n: int, orders: int, buckets: int):
             keys.append(set_key(s))
             sizes.append(len(s))
             if counted == COUNTED:
-                yield packed()
+                yield from packed()
                 counts[:], counted = 0, 0
             counted += 1
             for o in range(orders):
                 counts[o][bucket(s, o, buckets)] += np.uint16(1)
         m = len(keys)
         yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "h": batch.column("h"), "key": pa.array(keys, pa.binary()), "node": pa.array(map(key_node, keys), pa.int64()), "n": pa.array(sizes, pa.int64()), "chunk": pa.nulls(m, pa.int32()), "data": pa.nulls(m, pa.binary())})
-    yield packed()
+    yield from packed()
 
 
 def _sum_chunks(batches):
     """Loads by the sums of the bucket counts of each chunk, within a task that gets whole chunks."""
-    import zlib
-
     import pyarrow as pa
 
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            got = np.frombuffer(zlib.decompress(data), np.uint16)
+            got = unsqueezed(data)
             sums[chunk] = sums[chunk] + got if chunk in sums else got.astype(np.uint64)
     packed = [zlib.compress(loads(v).tobytes(), 1) for v in sums.values()]
     yield pa.RecordBatch.from_pydict({"chunk": pa.array(list(sums), pa.int32()), "data": pa.array(packed, pa.binary())})
@@ -473,12 +499,10 @@ def _components(docs: DataFrame, n: int, percent: int, orders: int) -> DataFrame
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     buckets = bucket_count(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    first = materialize(rows.mapInArrow(lambda b: trimmed(_count_tables(b, n, orders, buckets)), "doc_id long, h long, key binary, node long, n long, chunk int, data binary"), "shingle-counts")
+    first = materialize(rows.mapInArrow(lambda b: trimmed(_count_tables(b, n, orders, buckets, squeezed)), "doc_id long, h long, key binary, node long, n long, chunk int, data binary"), "shingle-counts")
     chunks = first.where("chunk is not null").select("chunk", "data")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = np.zeros((orders * buckets // CHUNK, CHUNK), np.uint8)
-    import zlib
-
     for r in chunks.repartition(parts, "chunk").mapInArrow(_sum_chunks, "chunk int, data binary").toLocalIterator():
         table[r.chunk] = np.frombuffer(zlib.decompress(r.data), np.uint8)
     sent = spark.sparkContext.broadcast(table.reshape(orders, buckets))
