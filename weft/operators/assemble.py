@@ -340,7 +340,8 @@ def collapsed_tables(rows: DataFrame, table: str, width: Column, header: Column)
     return got.withColumn("why", why).where("why is not null").select(table, "why")
 
 
-def overlapping_anchors(anchors: DataFrame, group: list[str]) -> DataFrame:
-    """Anchors (start, end) that begin before the one ahead of them in their unit ends."""
-    w = Window.partitionBy(*group).orderBy("start", "end")
+def overlapping_anchors(anchors: DataFrame, group: list[str], ties: tuple[str, ...] = ()) -> DataFrame:
+    """Anchors (start, end) that begin before the one ahead of them in their unit ends. ties order equal spans; without them
+    it is open which of these comes first."""
+    w = Window.partitionBy(*group).orderBy("start", "end", *ties)
     return anchors.withColumn("_e", F.lag("end").over(w)).where(F.col("start") < F.col("_e")).drop("_e")

@@ -94,7 +94,7 @@ def collapsed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overlapping_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_id", (F.col("event_id") * 37 % 5000).alias("start")).withColumn("end", F.col("start") + F.col("event_id") % 90)
-    return assemble.overlapping_anchors(e, ["user_id"]).select("event_id")
+    return assemble.overlapping_anchors(e, ["user_id"], ("event_id",)).select("event_id")
 
 
 def mapped_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
